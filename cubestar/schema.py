@@ -29,49 +29,61 @@ MAX_SLOTS = 6
 PERIOD_RANGES = {"semestre": (1, 2), "trimestre": (1, 4), "mes": (1, 12)}
 
 
-def _struct(spec: str) -> T.StructType:
-    return T.StructType.fromDDL(spec)
+_TYPES = {
+    "text": T.StringType(),
+    "date": T.DateType(),
+    "int": T.IntegerType(),
+    "short": T.ShortType(),
+    "flag": T.BooleanType(),
+    "texts": T.ArrayType(T.StringType()),
+}
+
+
+def _struct(**fields: str | T.DataType) -> T.StructType:
+    return T.StructType(
+        [
+            T.StructField(name, _TYPES[kind] if isinstance(kind, str) else kind)
+            for name, kind in fields.items()
+        ]
+    )
 
 
+_PERIOD = {
+    "frequencia": "text", "data_inicio": "date", "data_fim": "date",
+    "ano": "int", "ano_fim": "int", "semestre": "short", "trimestre": "short",
+    "mes": "short",
+}
+_CATEGORY = _struct(id="text", nome="text", unidade="text")
 METADATA = _struct(
-    """
-    id STRING, nome STRING, periodicidade STRUCT<frequencia: STRING>,
-    periodos ARRAY<STRUCT<
-        id: STRING, literals: ARRAY<STRING>, frequencia: STRING,
-        data_inicio: DATE, data_fim: DATE, ano: INT, ano_fim: INT,
-        semestre: SMALLINT, trimestre: SMALLINT, mes: SMALLINT,
-        modificacao: DATE>>,
-    localidades ARRAY<STRUCT<
-        id: STRING, nome: STRING, nivel: STRUCT<id: STRING, nome: STRING>>>,
-    variaveis ARRAY<STRUCT<id: STRING, nome: STRING, unidade: STRING>>,
-    classificacoes ARRAY<STRUCT<
-        id: STRING,
-        categorias: ARRAY<STRUCT<id: STRING, nome: STRING, unidade: STRING>>>>,
-    nivel_territorial STRUCT<
-        administrativo: ARRAY<STRING>, ibge: ARRAY<STRING>,
-        especial: ARRAY<STRING>>
-    """
+    id="text",
+    nome="text",
+    periodicidade=_struct(frequencia="text"),
+    periodos=T.ArrayType(
+        _struct(id="text", literals="texts", **_PERIOD, modificacao="date")
+    ),
+    localidades=T.ArrayType(
+        _struct(id="text", nome="text", nivel=_struct(id="text", nome="text"))
+    ),
+    variaveis=T.ArrayType(_struct(id="text", nome="text", unidade="text")),
+    classificacoes=T.ArrayType(
+        _struct(id="text", categorias=T.ArrayType(_CATEGORY))
+    ),
+    nivel_territorial=_struct(
+        administrativo="texts", ibge="texts", especial="texts"
+    ),
 )
 
 STAR_SCHEMAS = {
     "tabela_sidra": _struct(
-        "id STRING, nome STRING, periodicidade STRING,"
-        " ultima_atualizacao DATE, metadados STRING"
-    ),
-    "localidade": _struct(
-        "id STRING, nc STRING, nn STRING, d1c STRING, d1n STRING"
-    ),
-    "periodo": _struct(
-        "id STRING, codigo STRING, frequencia STRING, literals ARRAY<STRING>,"
-        " data_inicio DATE, data_fim DATE, ano INT, ano_fim INT,"
-        " semestre SMALLINT, trimestre SMALLINT, mes SMALLINT"
-    ),
-    "dimensao": _struct(
-        "id STRING, " + ", ".join(f"{c} STRING" for c in DIMENSION_COLUMNS)
+        id="text", nome="text", periodicidade="text",
+        ultima_atualizacao="date", metadados="text",
     ),
+    "localidade": _struct(id="text", nc="text", nn="text", d1c="text", d1n="text"),
+    "periodo": _struct(id="text", codigo="text", literals="texts", **_PERIOD),
+    "dimensao": _struct(id="text", **{c: "text" for c in DIMENSION_COLUMNS}),
     "dados": _struct(
-        "localidade_id STRING, dimensao_id STRING, modificacao DATE,"
-        " ativo BOOLEAN, v STRING, tabela_sidra_id STRING, periodo_id STRING"
+        localidade_id="text", dimensao_id="text", modificacao="date",
+        ativo="flag", v="text", tabela_sidra_id="text", periodo_id="text",
     ),
 }
 FACT_COLUMNS = tuple(STAR_SCHEMAS["dados"].fieldNames())
