@@ -249,7 +249,7 @@ def x7(spark, sf):
     + f"""
 SELECT {PLACE_ID} AS id, nc, nn, d1c, d1n FROM (
   SELECT *, row_number() OVER (PARTITION BY nc, d1c
-    ORDER BY modificacao DESC, file_path, nn, d1n) AS rn FROM old_batch_cells) AS x
+    ORDER BY modificacao DESC, file_path, raw_nn, raw_d1n) AS rn FROM old_batch_cells) AS x
 WHERE rn = 1""",
 )
 def d1(spark, sf):

@@ -51,8 +51,8 @@ def cells(batch: str) -> str:
 {batch}_raw AS (SELECT tabela_sidra_id{extra}, {raw} FROM {batch}),
 {batch}_cells AS (
   SELECT tabela_sidra_id{extra},
-         {level(cleaned('NC'))} AS nc, {stripped("coalesce(NN, '')")} AS nn,
-         {cleaned('D1C')} AS d1c, {stripped("coalesce(D1N, '')")} AS d1n,
+         {level(cleaned('NC'))} AS nc, NN AS raw_nn, {stripped("coalesce(NN, '')")} AS nn,
+         {cleaned('D1C')} AS d1c, D1N AS raw_d1n, {stripped("coalesce(D1N, '')")} AS d1n,
          MC AS mc, coalesce(MN, '') AS mn, D2C AS d2c, coalesce(D2N, '') AS d2n,
          D4C AS d4c, D4N AS d4n, D5C AS d5c, D5N AS d5n, {upper},
          D3C AS codigo, V AS v
@@ -148,7 +148,7 @@ data_place_rows AS (
   SELECT nc, d1c, nn, d1n FROM (
     SELECT nc, d1c, nn, d1n,
            row_number() OVER (PARTITION BY nc, d1c
-                              ORDER BY modificacao DESC, file_path, nn, d1n) AS rn
+                              ORDER BY modificacao DESC, file_path, raw_nn, raw_d1n) AS rn
     FROM old_batch_cells) AS x WHERE rn = 1),
 places AS (
   SELECT * FROM meta_place_rows

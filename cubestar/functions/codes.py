@@ -12,12 +12,16 @@ from cubestar.schema import (
     SLOT_CODES,
 )
 
-# All Unicode white space plus the four ASCII separators.
-_EDGE_SPACE = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+\z"
+# The characters counted as white space at the edges of a code.
+WHITE_SPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
 
 
 def strip(c: Column) -> Column:
-    return F.regexp_replace(c, _EDGE_SPACE, "")
+    return F.btrim(c, F.lit(WHITE_SPACE))
 
 
 def null_sentinels(df: DataFrame, columns=RAW_COLUMNS) -> DataFrame:
@@ -35,7 +39,9 @@ def coerce(c: Column) -> Column:
 
 def clean_code(c: Column) -> Column:
     """NULL to empty, strip, drop one trailing ``.0``."""
-    return F.regexp_replace(strip(F.coalesce(coerce(c), F.lit(""))), r"\.0\z", "")
+    text = strip(F.coalesce(coerce(c), F.lit("")))
+    shorter = F.substring(text, F.lit(1), F.length(text) - 2)
+    return F.when(text.endswith(".0"), shorter).otherwise(text)
 
 
 def normalize_level(c: Column) -> Column:

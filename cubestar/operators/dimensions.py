@@ -6,13 +6,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cubestar.functions.codes import (
-    clean_code,
     coerce,
     content_key,
     dimension_key,
     dimension_names,
-    normalize_level,
     period_key,
+    place_key,
     strip,
 )
 from cubestar.schema import (
@@ -41,54 +40,82 @@ def with_values(observations: DataFrame) -> DataFrame:
     return observations.filter(F.col("V").isNotNull())
 
 
-def first_seen(df: DataFrame) -> Column:
-    """Rank for "first row wins": newest modification, then file, then position."""
-    parts = []
-    if "modificacao" in df.columns:
-        parts.append((-F.unix_date("modificacao")).alias("o1"))
-    if "file_path" in df.columns:
-        parts.append(F.col("file_path").alias("o2"))
-    if "pos" in df.columns:
-        parts.append(F.col("pos").alias("o3"))
-    return F.struct(*parts, F.lit(0).alias("o4"))
+# Columns that rank rows for "first row wins", as far as a source has them.
+ORDER_COLUMNS = ("modificacao", "file_path", "pos")
 
 
-def _first(df: DataFrame, keys: list[str], values: list[str]) -> DataFrame:
+def order_columns(df: DataFrame) -> list[str]:
+    return [c for c in ORDER_COLUMNS if c in df.columns]
+
+
+def first_seen(df: DataFrame) -> list[Column]:
+    """Newest modification, then file, then position."""
+    return [
+        (-F.unix_date(c) if c == "modificacao" else F.col(c)).alias(f"by_{c}")
+        for c in order_columns(df)
+    ]
+
+
+def _first(df: DataFrame, rank: list, keys: list[str], values: list[str]) -> DataFrame:
     """One row per key; the value columns break ties, so reruns agree.
 
     A min aggregate combines inside each input partition first, so a key that
     holds most rows sends one row per partition through the shuffle.
     """
-    ranked = F.struct(F.col("first_seen"), *values)
     return (
         df.groupBy(*keys)
-        .agg(F.min(ranked).alias("w"))
+        .agg(F.min(F.struct(*rank, *values)).alias("w"))
         .select(*keys, *(f"w.{v}" for v in values))
     )
 
 
-def place_id(nc: Column, d1c: Column) -> Column:
-    return content_key(nc, d1c)
+def place_id() -> Column:
+    return content_key(F.col("nc"), F.col("d1c"))
 
 
 def dimension_id() -> Column:
     return content_key(*(F.col(c) for c in DIMENSION_KEY))
 
 
+def keyed_rows(observations: DataFrame) -> DataFrame:
+    """Valued rows with place and member codes, names, period and value."""
+    df = with_values(complete_raw(observations))
+    carried = [c for c in ("tabela_sidra_id", *ORDER_COLUMNS) if c in df.columns]
+    return df.select(
+        *carried,
+        *place_key(),
+        coerce(F.col("NN")).alias("nn"),
+        coerce(F.col("D1N")).alias("d1n"),
+        *dimension_key(),
+        *dimension_names(),
+        coerce(F.col("D3C")).alias("codigo"),
+        coerce(F.col("V")).alias("v"),
+    )
+
+
+def places_of(rows: DataFrame) -> DataFrame:
+    """D1 on keyed rows; names are stripped once per place."""
+    first = _first(rows, first_seen(rows), ["nc", "d1c"], ["nn", "d1n"])
+
+    def name(c: str) -> Column:
+        return strip(F.coalesce(c, F.lit(""))).alias(c)
+
+    return first.select(place_id().alias("id"), "nc", name("nn"), "d1c", name("d1n"))
+
+
 def distinct_places(observations: DataFrame) -> DataFrame:
     """Places of the rows with a value, first row gives the names."""
-    df = with_values(observations)
-    keyed = df.select(
-        normalize_level(clean_code(F.col("NC"))).alias("nc"),
-        strip(F.coalesce(coerce(F.col("NN")), F.lit(""))).alias("nn"),
-        clean_code(F.col("D1C")).alias("d1c"),
-        strip(F.coalesce(coerce(F.col("D1N")), F.lit(""))).alias("d1n"),
-        first_seen(df).alias("first_seen"),
-    )
-    first = _first(keyed, ["nc", "d1c"], ["nn", "d1n"])
-    return first.select(
-        place_id(F.col("nc"), F.col("d1c")).alias("id"), "nc", "nn", "d1c", "d1n"
-    )
+    return places_of(keyed_rows(observations))
+
+
+def dimensions_of(rows: DataFrame, keep_unmatchable: bool = False) -> DataFrame:
+    """D2 on keyed rows."""
+    if not keep_unmatchable:
+        rows = rows.filter(F.col("d2c").isNotNull())
+    values = [c for c in DIMENSION_COLUMNS if c not in DIMENSION_KEY]
+    first = _first(rows, first_seen(rows), list(DIMENSION_KEY), values)
+    filled = first.withColumn("d2c", F.coalesce("d2c", F.lit("")))
+    return filled.select(dimension_id().alias("id"), *DIMENSION_COLUMNS)
 
 
 def distinct_dimensions(
@@ -99,16 +126,7 @@ def distinct_dimensions(
     A member whose variable code is NULL can never be found again by a lookup;
     it is left out unless ``keep_unmatchable`` (then its code is empty).
     """
-    df = with_values(complete_raw(observations))
-    keyed = df.select(
-        *dimension_key(), *dimension_names(), first_seen(df).alias("first_seen")
-    )
-    if not keep_unmatchable:
-        keyed = keyed.filter(F.col("d2c").isNotNull())
-    values = [c for c in DIMENSION_COLUMNS if c not in DIMENSION_KEY]
-    first = _first(keyed, list(DIMENSION_KEY), values)
-    filled = first.withColumn("d2c", F.coalesce("d2c", F.lit("")))
-    return filled.select(dimension_id().alias("id"), *DIMENSION_COLUMNS)
+    return dimensions_of(keyed_rows(observations), keep_unmatchable)
 
 
 def distinct_period_codes(
@@ -135,13 +153,9 @@ def insert_absent(existing: DataFrame, candidates: DataFrame) -> DataFrame:
 
 def places_from_metadata(metadata: DataFrame) -> DataFrame:
     """Distinct places of all cubes, first cube and position give the names."""
-    rows = place_rows(metadata).withColumn(
-        "first_seen", F.struct("tabela_sidra_id", "pos")
-    )
-    first = _first(rows, ["nc", "d1c"], ["nn", "d1n"])
-    return first.select(
-        place_id(F.col("nc"), F.col("d1c")).alias("id"), "nc", "nn", "d1c", "d1n"
-    )
+    rows = place_rows(metadata)
+    first = _first(rows, ["tabela_sidra_id", "pos"], ["nc", "d1c"], ["nn", "d1n"])
+    return first.select(place_id().alias("id"), "nc", "nn", "d1c", "d1n")
 
 
 def periods_from_metadata(metadata: DataFrame) -> DataFrame:

@@ -48,9 +48,11 @@ def batch_cells(cells: DataFrame, revisions: str = "latest") -> DataFrame:
         keys.append("modificacao")
     first = F.min(F.struct(*order, "v", "modificacao")).alias("w")
     picked = cells.groupBy(*keys).agg(first)
+    # As a grouping key the date keeps the partitioning the anti join needs.
+    date = F.col("modificacao" if revisions == "latest" else "w.modificacao")
     return picked.select(
         *CELL_KEY,
-        F.col("w.modificacao").alias("modificacao"),
+        date.alias("modificacao"),
         F.lit(True).alias("ativo"),
         F.col("w.v").alias("v"),
     ).select(*FACT_COLUMNS)
@@ -73,8 +75,24 @@ def deactivate_superseded(facts: DataFrame, latest: DataFrame) -> DataFrame:
     return joined.withColumn("ativo", F.col("ativo") & ~older).select(*facts.columns)
 
 
+def touched_partitions(cells: DataFrame) -> DataFrame:
+    """A1 of a batch, written once: one row per (cube, period) it touches.
+
+    It is counted before it is broadcast. The comparison is always true; with
+    a predicate on this side Spark prunes the stored partitions at run time.
+    """
+    return broadcast_if_small(
+        stage(latest_modification(cells), "touched").filter(
+            "max_modificacao >= DATE'0001-01-01'"
+        )
+    )
+
+
 def merge_touched(
-    stored: DataFrame, cells: DataFrame, revisions: str = "latest"
+    stored: DataFrame,
+    cells: DataFrame,
+    revisions: str = "latest",
+    latest: DataFrame | None = None,
 ) -> DataFrame:
     """New content of every (cube, period) the batch touches.
 
@@ -83,22 +101,16 @@ def merge_touched(
     batch are the partition columns of the stored facts.
     """
     _check(revisions)
-    # One row per touched partition: written once, counted, then broadcast.
-    # The comparison is always true; with a predicate on this side Spark prunes
-    # the stored partitions at run time.
-    latest = broadcast_if_small(
-        stage(latest_modification(cells), "touched").filter(
-            "max_modificacao >= DATE'0001-01-01'"
-        )
-    )
+    if latest is None:
+        latest = touched_partitions(cells)
     touched = stored.join(latest, list(FACT_PARTITIONS)).select(
-        *FACT_COLUMNS, "max_modificacao", F.lit(False).alias("inserted")
+        *FACT_COLUMNS, F.lit(False).alias("inserted")
     )
     added = new_cells(touched, cells, revisions)
     newest = latest
     if revisions == "latest":
-        # A batch may bring an older revision than the one stored; the stored
-        # side has no other keys than the batch, so its size is known too.
+        # A batch may bring an older revision than the one stored. The stored
+        # side has no other pairs than the batch, so this is as small.
         newest = broadcast_if_small(
             stage(
                 latest.unionByName(latest_modification(touched))
@@ -107,7 +119,7 @@ def merge_touched(
                 "newest",
             )
         )
-    everything = touched.select(*FACT_COLUMNS, "inserted").unionByName(
+    everything = touched.unionByName(
         added.withColumn("inserted", F.lit(True))
     )
     older = F.col("modificacao") < F.col("max_modificacao")

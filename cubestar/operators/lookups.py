@@ -5,9 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cubestar.functions.codes import coerce, dimension_key, literals_text, place_key
-from cubestar.operators.dimensions import complete_raw, dimension_id, place_id, with_values
-from cubestar.schema import DIMENSION_KEY
+from cubestar.functions.codes import coerce
+from cubestar.operators.dimensions import (
+    dimension_id,
+    keyed_rows,
+    order_columns,
+    place_id,
+    with_values,
+)
+from cubestar.schema import DIMENSION_COLUMNS, DIMENSION_KEY
 from cubestar.sources.workdir import broadcast_if_small
 
 # Why a cell was not accepted, in the order the checks are made.
@@ -148,20 +154,6 @@ def _with_period_id(df, periodo, tabela_sidra, frequencies):
     )
 
 
-def _prepared(observations: DataFrame) -> DataFrame:
-    """Rows with a value, their keys and ``v``; order columns pass through."""
-    df = with_values(complete_raw(observations))
-    passed = [c for c in ("modificacao", "file_path", "pos") if c in df.columns]
-    return df.select(
-        "tabela_sidra_id",
-        *passed,
-        *place_key(),
-        *dimension_key(),
-        coerce(F.col("D3C")).alias("codigo"),
-        coerce(F.col("V")).alias("v"),
-    )
-
-
 def _first_failure():
     reason = F.lit(None).cast("string")
     for name in reversed(REJECT_REASONS):
@@ -181,7 +173,7 @@ def resolve_cells(
 
     Accepted cells have no ``reject_reason`` and are active.
     """
-    cells = _prepared(observations)
+    cells = keyed_rows(observations)
     cells = cells.join(place_lookup(localidade), ["nc", "d1c"], "left")
     dims = dimension_lookup(dimensao).filter(F.col("d2c").isNotNull())
     renamed = dims.select(*(F.col(c).alias(f"k_{c}") for c in DIMENSION_KEY), "dimensao_id")
@@ -201,31 +193,36 @@ def resolve_by_content(
     periodo: DataFrame,
     tabela_sidra: DataFrame,
     frequencies: DataFrame | None = None,
+    keep_names: bool = False,
 ) -> DataFrame:
     """J5 inside a load, where the batch's own members have just been inserted.
 
     Ids are content keys, so place and dimension need no join: the only member
-    a lookup would miss is one with a NULL variable code.
+    a lookup would miss is one with a NULL variable code. ``keep_names`` keeps
+    the codes and names of the members next to the ids.
     """
-    cells = _prepared(observations).withColumns(
+    cells = keyed_rows(observations).withColumns(
         {
-            "localidade_id": place_id(F.col("nc"), F.col("d1c")),
+            "localidade_id": place_id(),
             "dimensao_id": F.when(F.col("d2c").isNotNull(), dimension_id()),
         }
     )
-    return _resolved(_with_period_id(cells, periodo, tabela_sidra, frequencies))
+    names = ["nc", "nn", "d1c", "d1n", *DIMENSION_COLUMNS] if keep_names else []
+    return _resolved(
+        _with_period_id(cells, periodo, tabela_sidra, frequencies), names
+    )
 
 
-def _resolved(cells: DataFrame) -> DataFrame:
-    passed = [c for c in ("modificacao", "file_path", "pos") if c in cells.columns]
+def _resolved(cells: DataFrame, names: list[str] | None = None) -> DataFrame:
     return cells.select(
         "tabela_sidra_id",
         "localidade_id",
         "dimensao_id",
         "periodo_id",
         "codigo",
-        *passed,
+        *order_columns(cells),
         F.lit(True).alias("ativo"),
         "v",
         _first_failure().alias("reject_reason"),
+        *(names or []),
     )

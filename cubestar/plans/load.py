@@ -9,23 +9,22 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from cubestar.functions.codes import null_sentinels
 from cubestar.operators.dimensions import (
     complete_raw,
-    distinct_dimensions,
-    distinct_places,
+    dimensions_of,
     insert_absent,
     new_members,
     periods_from_metadata,
     places_from_metadata,
+    places_of,
     unique_tables,
     upsert_catalogue,
     upsert_periods,
-    with_values,
 )
 from cubestar.operators.facts import (
     accepted,
-    latest_modification,
     load_report,
     merge_touched,
     rejected,
+    touched_partitions,
     untouched,
 )
 from cubestar.operators.lookups import resolve_by_content
@@ -67,34 +66,34 @@ def load_batch(
     """Members, cells and supersession of a batch, all cubes in one job.
 
     ``observations`` has tabela_sidra_id, modificacao and raw columns, from
-    landed documents or any other source. The raw rows are read once and
-    staged; every later step reads the staged columns it needs. Loading the
+    landed documents or any other source. The raw rows are read once: their
+    resolved form is staged, and later steps read the staged columns they need. Loading the
     same batch again changes nothing. Cubes without a value row take no part.
     ``keep_flags`` stores the sentinel texts instead of dropping their cells.
     """
-    raw = complete_raw(observations)
     nulled = [c for c in RAW_COLUMNS if not (keep_flags and c == "V")]
-    raw = null_sentinels(raw, nulled)
-    order = [c for c in ("file_path", "pos") if c in raw.columns]
-    bronze = stage(
-        with_values(raw.select("tabela_sidra_id", "modificacao", *order, *RAW_COLUMNS)),
-        "bronze",
-    )
-    places = new_members(star.localidade, distinct_places(bronze))
-    dimensions = new_members(star.dimensao, distinct_dimensions(bronze))
-    resolved = stage(
-        resolve_by_content(bronze, star.periodo, star.tabela_sidra, frequencies),
+    rows = stage(
+        resolve_by_content(
+            null_sentinels(complete_raw(observations), nulled),
+            star.periodo,
+            star.tabela_sidra,
+            frequencies,
+            keep_names=True,
+        ),
         "resolved",
     )
-    cells = accepted(resolved)
-    merged = stage(merge_touched(star.dados, cells, revisions), "merged")
-    kept = untouched(star.dados, latest_modification(cells))
+    places = new_members(star.localidade, places_of(rows))
+    dimensions = new_members(star.dimensao, dimensions_of(rows))
+    cells = accepted(rows)
+    touched = touched_partitions(cells)
+    merged = stage(merge_touched(star.dados, cells, revisions, touched), "merged")
+    kept = untouched(star.dados, touched)
     return Load(
         new_places=places,
         new_dimensions=dimensions,
         merged=merged,
-        rejects=rejected(resolved),
-        report=load_report(resolved, merged),
+        rejects=rejected(rows),
+        report=load_report(rows, merged),
         star=star._replace(
             localidade=star.localidade.unionByName(places),
             dimensao=star.dimensao.unionByName(dimensions),
