@@ -48,20 +48,34 @@ def order_columns(df: DataFrame) -> list[str]:
     return [c for c in ORDER_COLUMNS if c in df.columns]
 
 
-def first_seen(df: DataFrame) -> list[Column]:
-    """Newest modification, then file, then position."""
-    return [
-        (-F.unix_date(c) if c == "modificacao" else F.col(c)).alias(f"by_{c}")
-        for c in order_columns(df)
-    ]
+def compacted(df: DataFrame, columns: list[str], position) -> DataFrame:
+    """Distinct combinations of columns, date and file, with one position each.
+
+    This runs as a hash aggregate inside every input partition. The sort-based
+    pick of a first or last row then sees few rows per key and file.
+    """
+    others = [c for c in order_columns(df) if c != "pos"]
+    grouped = df.groupBy(*columns, *others)
+    if "pos" not in df.columns:
+        return df.select(*columns, *others).distinct()
+    return grouped.agg(position("pos").alias("pos"))
 
 
-def _first(df: DataFrame, rank: list, keys: list[str], values: list[str]) -> DataFrame:
-    """One row per key; the value columns break ties, so reruns agree.
+def _first(
+    df: DataFrame, keys: list[str], values: list[str], rank: list[str] | None = None
+) -> DataFrame:
+    """One row per key: newest modification, then file, then position.
 
-    A min aggregate combines inside each input partition first, so a key that
-    holds most rows sends one row per partition through the shuffle.
+    The value columns break ties, so reruns agree. The aggregate combines in
+    each input partition first: a key that holds most rows sends one row per
+    partition through the shuffle.
     """
+    if rank is None:
+        df = compacted(df, [*keys, *values], F.min)
+        rank = [
+            (-F.unix_date(c) if c == "modificacao" else F.col(c)).alias(f"by_{c}")
+            for c in order_columns(df)
+        ]
     return (
         df.groupBy(*keys)
         .agg(F.min(F.struct(*rank, *values)).alias("w"))
@@ -95,7 +109,7 @@ def keyed_rows(observations: DataFrame) -> DataFrame:
 
 def places_of(rows: DataFrame) -> DataFrame:
     """D1 on keyed rows; names are stripped once per place."""
-    first = _first(rows, first_seen(rows), ["nc", "d1c"], ["nn", "d1n"])
+    first = _first(rows, ["nc", "d1c"], ["nn", "d1n"])
 
     def name(c: str) -> Column:
         return strip(F.coalesce(c, F.lit(""))).alias(c)
@@ -113,7 +127,7 @@ def dimensions_of(rows: DataFrame, keep_unmatchable: bool = False) -> DataFrame:
     if not keep_unmatchable:
         rows = rows.filter(F.col("d2c").isNotNull())
     values = [c for c in DIMENSION_COLUMNS if c not in DIMENSION_KEY]
-    first = _first(rows, first_seen(rows), list(DIMENSION_KEY), values)
+    first = _first(rows, list(DIMENSION_KEY), values)
     filled = first.withColumn("d2c", F.coalesce("d2c", F.lit("")))
     return filled.select(dimension_id().alias("id"), *DIMENSION_COLUMNS)
 
@@ -154,7 +168,9 @@ def insert_absent(existing: DataFrame, candidates: DataFrame) -> DataFrame:
 def places_from_metadata(metadata: DataFrame) -> DataFrame:
     """Distinct places of all cubes, first cube and position give the names."""
     rows = place_rows(metadata)
-    first = _first(rows, ["tabela_sidra_id", "pos"], ["nc", "d1c"], ["nn", "d1n"])
+    first = _first(
+        rows, ["nc", "d1c"], ["nn", "d1n"], rank=["tabela_sidra_id", "pos"]
+    )
     return first.select(place_id().alias("id"), "nc", "nn", "d1c", "d1n")
 
 

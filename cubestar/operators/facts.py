@@ -70,6 +70,7 @@ def new_cells(
 
 def deactivate_superseded(facts: DataFrame, latest: DataFrame) -> DataFrame:
     """A2: active facts older than the newest modification of their (cube, period)."""
+    latest = broadcast_if_small(stage(latest, "latest"))
     joined = facts.join(latest, list(FACT_PARTITIONS), "left")
     older = F.coalesce(F.col("modificacao") < F.col("max_modificacao"), F.lit(False))
     return joined.withColumn("ativo", F.col("ativo") & ~older).select(*facts.columns)

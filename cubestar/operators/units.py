@@ -6,7 +6,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cubestar.functions.codes import coerce, strip
-from cubestar.operators.dimensions import complete_raw
+from cubestar.operators.dimensions import (
+    compacted,
+    complete_raw,
+    order_columns,
+)
 from cubestar.schema import SLOT_CODES
 from cubestar.sources.workdir import broadcast_if_small, stage
 
@@ -26,16 +30,17 @@ def enrich_units(members: DataFrame, observations: DataFrame) -> DataFrame:
     """
     codes = ["D2C", *SLOT_CODES]
     raw = complete_raw(observations).filter(F.col("MC").isNotNull())
-    order = [c for c in ("modificacao", "file_path", "pos") if c in raw.columns]
+    order = order_columns(raw)
     seen = raw.select(
-        F.col("tabela_sidra_id"),
+        "tabela_sidra_id",
+        *order,
         *(_member(c).alias(f"k_{c.lower()}") for c in codes),
         strip(coerce(F.col("MC"))).alias("seen_mc"),
         strip(coerce(F.col("MN"))).alias("seen_mn"),
-        F.struct(*order, F.lit(0).alias("z")).alias("seen_at"),
     )
-    last = F.max(F.struct("seen_at", "seen_mc"))["seen_mc"]
+    last = F.max(F.struct(*order, "seen_mc"))["seen_mc"]
     keys = [f"k_{c.lower()}" for c in codes]
+    seen = compacted(seen, ["tabela_sidra_id", *keys, "seen_mc", "seen_mn"], F.max)
     by_combo = seen.groupBy("tabela_sidra_id", *keys).agg(last.alias("combo_mc"))
     by_name = (
         seen.filter("seen_mn <> '' AND seen_mc <> ''")

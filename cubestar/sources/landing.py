@@ -6,19 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cubestar.functions.requests import request_folder, request_key
-from cubestar.sources.documents import file_name
+from cubestar.sources.documents import file_name, list_documents
 
 
 def landed_names(spark: SparkSession, path: str) -> DataFrame:
-    """Folder and file name of every landed file; contents are not read."""
-    files = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.json")
-        .load(path)
-        .select("path")
-    )
-    return names_of(files.withColumnRenamed("path", "file_path"))
+    """Folder and file name of every landed document; contents are not read."""
+    return names_of(list_documents(spark, path))
 
 
 def names_of(docs: DataFrame) -> DataFrame:
