@@ -16,7 +16,7 @@ from cubestar.catalog.oracle import (
     star_rows,
 )
 from cubestar.catalog.registry import query
-from cubestar.catalog.scans import _run
+from cubestar.catalog.scans import STAR_JOIN, VALUE, _run
 from cubestar.functions.codes import dimension_key, null_sentinels, place_key
 from cubestar.operators.dimensions import (
     complete_raw,
@@ -191,15 +191,10 @@ def u3(spark, sf):
     )
 
 
-_FLAT_SQL = """
+_FLAT_SQL = f"""
 SELECT p.ano, l.d1c AS localidade_id, dim.d2n AS variavel, dim.d4n AS categoria,
-       dim.d5n AS situacao, p.codigo AS periodo, d.tabela_sidra_id AS cubo,
-       CASE WHEN d.v RLIKE '^-?[0-9]' THEN try_cast(d.v AS DECIMAL(38,10)) END AS valor
-FROM dados d
-JOIN periodo    p   ON d.periodo_id    = p.id
-JOIN dimensao   dim ON d.dimensao_id   = dim.id
-JOIN localidade l   ON d.localidade_id = l.id
-WHERE d.tabela_sidra_id IN ('T1', 'T3') AND d.ativo = true"""
+       dim.d5n AS situacao, p.codigo AS periodo, d.tabela_sidra_id AS cubo, {VALUE}
+{STAR_JOIN} WHERE d.tabela_sidra_id IN ('T1', 'T3') AND d.ativo"""
 
 
 @query(
@@ -296,12 +291,8 @@ def q3(spark, sf):
         {
             "name": "clustered", "strategy": "replace",
             "sql": "SELECT p.codigo AS periodo, p.ano, p.mes, l.d1c AS localidade_id,"
-            " l.d1n AS localidade, dim.d2n AS variavel, dim.d4n AS categoria,"
-            " CASE WHEN d.v RLIKE '^-?[0-9]' THEN try_cast(d.v AS DECIMAL(38,10)) END"
-            " AS valor FROM dados d JOIN periodo p ON d.periodo_id = p.id"
-            " JOIN dimensao dim ON d.dimensao_id = dim.id"
-            " JOIN localidade l ON d.localidade_id = l.id"
-            " WHERE d.tabela_sidra_id = 'T3' AND d.ativo",
+            f" l.d1n AS localidade, dim.d2n AS variavel, dim.d4n AS categoria, {VALUE}"
+            f" {STAR_JOIN} WHERE d.tabela_sidra_id = 'T3' AND d.ativo",
             "indexes": [{"name": "ix", "columns": ["localidade_id", "periodo"]}],
         },
     )

@@ -42,7 +42,13 @@ from cubestar.operators.lookups import (
     table_periodicity,
 )
 from cubestar.operators.outputs import join_star
-from cubestar.plans.load import load_batch, load_into, load_metadata, save_metadata
+from cubestar.plans.load import (
+    load_batch,
+    load_documents,
+    load_into,
+    load_metadata,
+    save_metadata,
+)
 from cubestar.schema import DIMENSION_KEY, empty_star
 from cubestar.sources.star_tables import create_star, read_star
 from cubestar.sources.workdir import new_path
@@ -280,6 +286,40 @@ def t10_published(spark, sf):
     return read_star(spark, path).dados
 
 
+_DOCUMENT_ROWS = """
+published AS (
+  SELECT *, TRUE AS first FROM old_batch_resolved WHERE tabela_sidra_id = 'T1'
+  UNION ALL SELECT *, FALSE FROM new_batch_resolved WHERE tabela_sidra_id = 'T1'),
+kept AS (
+  SELECT * FROM (
+    SELECT *, row_number() OVER (
+      PARTITION BY tabela_sidra_id, localidade_id, dimensao_id, periodo_id, modificacao
+      ORDER BY v) AS rn
+    FROM published WHERE reject_reason IS NULL) AS x WHERE rn = 1),
+newest AS (SELECT periodo_id, max(modificacao) AS m FROM kept GROUP BY periodo_id)"""
+
+
+@query(
+    "t10_load_documents",
+    _BOTH + "," + _DOCUMENT_ROWS
+    + """
+SELECT k.tabela_sidra_id, k.localidade_id, k.dimensao_id, k.periodo_id,
+       CAST(k.modificacao AS VARCHAR) AS modificacao, k.modificacao = n.m AS ativo, k.v
+FROM kept k JOIN newest n ON n.periodo_id = k.periodo_id""",
+)
+def t10_documents(spark, sf):
+    """JSON documents of all modifications, loaded in one batch.
+
+    Rows of a document are in text order, so the smaller value comes first
+    where a document has a cell twice.
+    """
+    path = new_path(spark, "from-documents")
+    create_star(spark, path)
+    save_metadata(spark, path, inputs.metadata(spark, sf))
+    load_documents(spark, path, inputs.documents(spark, sf))
+    return read_star(spark, path).dados
+
+
 def _report(revisions: str) -> str:
     return f"""{_BOTH},{after(revisions)}
 SELECT r.tabela_sidra_id, r.staged, a.inserted, a.deactivated, 0 AS missing_places,

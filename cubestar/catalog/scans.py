@@ -218,17 +218,17 @@ def s6(spark, sf):
     )
 
 
-_STANDARD_SQL = """
+STAR_JOIN = (
+    "FROM dados d JOIN periodo p ON d.periodo_id = p.id"
+    " JOIN dimensao dim ON d.dimensao_id = dim.id"
+    " JOIN localidade l ON d.localidade_id = l.id"
+)
+VALUE = "CASE WHEN d.v RLIKE '^-?[0-9]' THEN try_cast(d.v AS DECIMAL(38,10)) END AS valor"
+_STANDARD_SQL = f"""
 SELECT d.tabela_sidra_id, p.codigo AS periodo, p.ano, p.mes, l.nc AS nivel,
        l.d1c AS localidade_id, dim.d2n AS variavel, dim.d4n AS categoria,
-       dim.d5n AS situacao,
-       CASE WHEN d.v RLIKE '^-?[0-9]' THEN try_cast(d.v AS DECIMAL(38,10)) END AS valor
-FROM dados d
-JOIN periodo    p   ON d.periodo_id    = p.id
-JOIN dimensao   dim ON d.dimensao_id   = dim.id
-JOIN localidade l   ON d.localidade_id = l.id
-WHERE d.tabela_sidra_id IN ('T1', 'T3')
-  AND d.ativo = true"""
+       dim.d5n AS situacao, {VALUE}
+{STAR_JOIN} WHERE d.tabela_sidra_id IN ('T1', 'T3') AND d.ativo"""
 _STANDARD_ORACLE = """SELECT tabela_sidra_id, codigo AS periodo, ano, mes, nc AS nivel,
        d1c AS localidade_id, d2n AS variavel, d4n AS categoria, d5n AS situacao,
        CAST(num AS VARCHAR) AS valor

@@ -48,21 +48,35 @@ def order_columns(df: DataFrame) -> list[str]:
     return [c for c in ORDER_COLUMNS if c in df.columns]
 
 
-def compacted(df: DataFrame, columns: list[str], position) -> DataFrame:
-    """Distinct combinations of columns, date and file, with one position each.
+_DATE_STEP = 1 << 32
 
-    This runs as a hash aggregate inside every input partition. The sort-based
-    pick of a first or last row then sees few rows per key and file.
+
+def compacted(df: DataFrame, columns: list[str], newest_first: bool) -> DataFrame:
+    """Per file, one row for each combination of columns: the first or the last.
+
+    Date and position make one number, so this is a hash aggregate that shrinks
+    every input partition; the sort-based pick that follows sees few rows.
     """
-    others = [c for c in order_columns(df) if c != "pos"]
-    grouped = df.groupBy(*columns, *others)
-    if "pos" not in df.columns:
-        return df.select(*columns, *others).distinct()
-    return grouped.agg(position("pos").alias("pos"))
+    rank = F.lit(0).cast("bigint")
+    if "modificacao" in df.columns:
+        day = F.unix_date("modificacao").cast("bigint")
+        rank = (-day if newest_first else day) * _DATE_STEP
+    if "pos" in df.columns:
+        rank = rank + F.col("pos")
+    pick = F.min if newest_first else F.max
+    files = [c for c in ("file_path",) if c in df.columns]
+    best = df.groupBy(*columns, *files).agg(pick(rank).alias("rank"))
+    # Date before file before position, as a sortable column.
+    order = F.struct(
+        F.shiftright("rank", 32).alias("day"),
+        *files,
+        F.pmod("rank", F.lit(_DATE_STEP)).alias("pos"),
+    )
+    return best.select(*columns, order.alias("seen_at"))
 
 
 def _first(
-    df: DataFrame, keys: list[str], values: list[str], rank: list[str] | None = None
+    df: DataFrame, keys: list[str], values: list[str], order: list[str] | None = None
 ) -> DataFrame:
     """One row per key: newest modification, then file, then position.
 
@@ -70,15 +84,11 @@ def _first(
     each input partition first: a key that holds most rows sends one row per
     partition through the shuffle.
     """
-    if rank is None:
-        df = compacted(df, [*keys, *values], F.min)
-        rank = [
-            (-F.unix_date(c) if c == "modificacao" else F.col(c)).alias(f"by_{c}")
-            for c in order_columns(df)
-        ]
+    if order is None:
+        df, order = compacted(df, [*keys, *values], newest_first=True), ["seen_at"]
     return (
         df.groupBy(*keys)
-        .agg(F.min(F.struct(*rank, *values)).alias("w"))
+        .agg(F.min(F.struct(*order, *values)).alias("w"))
         .select(*keys, *(f"w.{v}" for v in values))
     )
 
@@ -169,7 +179,7 @@ def places_from_metadata(metadata: DataFrame) -> DataFrame:
     """Distinct places of all cubes, first cube and position give the names."""
     rows = place_rows(metadata)
     first = _first(
-        rows, ["nc", "d1c"], ["nn", "d1n"], rank=["tabela_sidra_id", "pos"]
+        rows, ["nc", "d1c"], ["nn", "d1n"], order=["tabela_sidra_id", "pos"]
     )
     return first.select(place_id().alias("id"), "nc", "nn", "d1c", "d1n")
 
@@ -199,8 +209,13 @@ def upsert_catalogue(
 ) -> DataFrame:
     """On an equal id only the description is replaced."""
     today = F.current_date() if load_date is None else load_date
-    new = catalogue_rows(metadata).select(
-        "id", *(F.col(c).alias(f"new_{c}") for c in ("nome", "periodicidade", "metadados"))
+    described = ("nome", "periodicidade", "metadados")
+    # A cube described twice counts once.
+    new = (
+        catalogue_rows(metadata)
+        .groupBy("id")
+        .agg(F.min(F.struct(*described)).alias("d"))
+        .select("id", *(F.col(f"d.{c}").alias(f"new_{c}") for c in described))
     )
     joined = existing.withColumn("known", F.lit(True)).join(new, "id", "full_outer")
     known = F.col("known").isNotNull()

@@ -30,17 +30,17 @@ def enrich_units(members: DataFrame, observations: DataFrame) -> DataFrame:
     """
     codes = ["D2C", *SLOT_CODES]
     raw = complete_raw(observations).filter(F.col("MC").isNotNull())
-    order = order_columns(raw)
     seen = raw.select(
         "tabela_sidra_id",
-        *order,
+        *order_columns(raw),
         *(_member(c).alias(f"k_{c.lower()}") for c in codes),
         strip(coerce(F.col("MC"))).alias("seen_mc"),
         strip(coerce(F.col("MN"))).alias("seen_mn"),
     )
-    last = F.max(F.struct(*order, "seen_mc"))["seen_mc"]
+    last = F.max(F.struct("seen_at", "seen_mc"))["seen_mc"]
     keys = [f"k_{c.lower()}" for c in codes]
-    seen = compacted(seen, ["tabela_sidra_id", *keys, "seen_mc", "seen_mn"], F.max)
+    columns = ["tabela_sidra_id", *keys, "seen_mc", "seen_mn"]
+    seen = compacted(seen, columns, newest_first=False)
     by_combo = seen.groupBy("tabela_sidra_id", *keys).agg(last.alias("combo_mc"))
     by_name = (
         seen.filter("seen_mn <> '' AND seen_mc <> ''")

@@ -15,7 +15,6 @@ from cubestar.operators.dimensions import (
     periods_from_metadata,
     places_from_metadata,
     places_of,
-    unique_tables,
     upsert_catalogue,
     upsert_periods,
 )
@@ -29,6 +28,7 @@ from cubestar.operators.facts import (
 )
 from cubestar.operators.lookups import resolve_by_content
 from cubestar.schema import FACT_COLUMNS, RAW_COLUMNS, Star
+from cubestar.sources.documents import observations_from_documents
 from cubestar.sources.star_tables import read_star, write_facts
 from cubestar.sources.workdir import stage
 
@@ -48,11 +48,10 @@ def load_metadata(
     star: Star, metadata: DataFrame, load_date: Column | None = None
 ) -> Star:
     """Catalogue, periods and places of all cubes in one job."""
-    cubes = unique_tables(metadata, "id")
     return star._replace(
-        tabela_sidra=upsert_catalogue(star.tabela_sidra, cubes, load_date),
-        periodo=upsert_periods(star.periodo, periods_from_metadata(cubes)),
-        localidade=insert_absent(star.localidade, places_from_metadata(cubes)),
+        tabela_sidra=upsert_catalogue(star.tabela_sidra, metadata, load_date),
+        periodo=upsert_periods(star.periodo, periods_from_metadata(metadata)),
+        localidade=insert_absent(star.localidade, places_from_metadata(metadata)),
     )
 
 
@@ -122,9 +121,8 @@ def save_metadata(
         name: stage(getattr(loaded, name), name)
         for name in ("tabela_sidra", "periodo")
     }
-    new_members(
-        before.localidade, places_from_metadata(unique_tables(metadata, "id"))
-    ).write.mode("append").parquet(f"{path}/localidade")
+    new_places = new_members(before.localidade, places_from_metadata(metadata))
+    new_places.write.mode("append").parquet(f"{path}/localidade")
     for name, df in staged.items():
         df.coalesce(1).write.mode("overwrite").parquet(f"{path}/{name}")
     return read_star(spark, path)
@@ -156,3 +154,12 @@ def load_into(
     report = stage(load.report, "report")
     save_load(load, path)
     return report
+
+
+def load_documents(
+    spark: SparkSession, path: str, docs: DataFrame, **options
+) -> DataFrame:
+    """T10 from landed documents: (file_path, value) rows into a stored star."""
+    keep_flags = options.get("keep_flags", False)
+    rows = observations_from_documents(docs, keep_flags=keep_flags)
+    return load_into(spark, path, rows, **options)

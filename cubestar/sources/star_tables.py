@@ -66,3 +66,15 @@ def register_star(spark: SparkSession, path: str, database: str) -> None:
         )
         if name == "dados":
             spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
+
+
+def star_of(spark: SparkSession, database: str) -> Star:
+    """A registered star; partitions come from the catalog, not from a listing."""
+    return Star(*(spark.table(f"`{database}`.`{name}`") for name in Star._fields))
+
+
+def refresh_star(spark: SparkSession, database: str) -> None:
+    """Show a registered star what has been loaded into its folders since."""
+    spark.sql(f"ALTER TABLE `{database}`.`dados` RECOVER PARTITIONS")
+    for name in Star._fields:
+        spark.catalog.refreshTable(f"`{database}`.`{name}`")

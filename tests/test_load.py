@@ -9,7 +9,13 @@ from cubestar.operators.facts import batch_cells, accepted
 from cubestar.operators.lookups import period_match_ratio
 from cubestar.plans.load import load_batch, load_into, load_metadata, save_metadata
 from cubestar.schema import FACT_COLUMNS, empty_star
-from cubestar.sources.star_tables import create_star, read_star, register_star
+from cubestar.sources.star_tables import (
+    create_star,
+    read_star,
+    refresh_star,
+    register_star,
+    star_of,
+)
 from cubestar.streaming.ingest import ingest
 from helpers import D1, D2, D3, cube, metadata, observations, values
 
@@ -220,6 +226,9 @@ def test_star_as_tables(spark, tmp_path, stored):
     register_star(spark, path, "star_as_tables")
     assert spark.table("star_as_tables.dados").count() == len(OLD)
     assert set(FACT_COLUMNS) == set(spark.table("star_as_tables.dados").columns)
+    load_into(spark, path, observations(spark, {"D1C": "a", "D3C": "202002"}))
+    refresh_star(spark, "star_as_tables")
+    assert facts(star_of(spark, "star_as_tables")) == facts(read_star(spark, path))
 
 
 def test_landed_documents_are_streamed_once(spark, tmp_path):
