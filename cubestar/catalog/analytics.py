@@ -17,7 +17,7 @@ from cubestar.catalog.oracle import (
 )
 from cubestar.catalog.registry import query
 from cubestar.catalog.scans import STAR_JOIN, VALUE, _run
-from cubestar.functions.codes import dimension_key, null_sentinels, place_key
+from cubestar.functions.codes import dimension_key, null_sentinels, with_place_key
 from cubestar.operators.dimensions import (
     complete_raw,
     places_from_metadata,
@@ -353,11 +353,12 @@ def q6(spark, sf):
     """Cells a batch sends more than once, by the key of the facts."""
     rows = with_values(
         complete_raw(null_sentinels(inputs.source(spark, sf, "new_batch")))
-    ).select(
-        "tabela_sidra_id", *place_key(), *dimension_key(), F.col("D3C").alias("codigo")
+    ).selectExpr(
+        "tabela_sidra_id", "NC", "D1C", *dimension_key(), "D3C AS codigo"
     )
     return duplicate_keys(
-        rows, ["tabela_sidra_id", "nc", "d1c", "d2c", "d4c", "d5c", "codigo"]
+        with_place_key(rows),
+        ["tabela_sidra_id", "nc", "d1c", "d2c", "d4c", "d5c", "codigo"],
     )
 
 

@@ -24,8 +24,8 @@ from cubestar.functions.codes import (
     normalize_level,
     null_sentinels,
     numeric_value,
-    place_key,
     value_flag,
+    with_place_key,
 )
 from cubestar.operators.dimensions import complete_raw, with_values
 from cubestar.operators.expand import dimension_members, plan_periods
@@ -323,8 +323,8 @@ def s9(spark, sf):
 def p1(spark, sf):
     return inputs.table(spark, sf, "lineitem").select(
         "l_orderkey", "l_linenumber",
-        coerce(F.col("l_partkey")).alias("code"),
-        coerce(F.col("l_linenumber")).alias("line"),
+        F.expr(coerce("l_partkey")).alias("code"),
+        F.expr(coerce("l_linenumber")).alias("line"),
     )
 
 
@@ -338,8 +338,8 @@ def p1(spark, sf):
 def p2(spark, sf):
     return inputs.source(spark, sf, "cells").select(
         F.col("D1C").alias("raw"),
-        clean_code(F.col("D1C")).alias("code"),
-        clean_code(F.col("D5C")).alias("slot"),
+        F.expr(clean_code("D1C")).alias("code"),
+        F.expr(clean_code("D5C")).alias("slot"),
     )
 
 
@@ -353,8 +353,8 @@ def p2(spark, sf):
 def p3(spark, sf):
     return inputs.source(spark, sf, "cells").select(
         F.col("NC").alias("raw"),
-        normalize_level(F.col("NC")).alias("nc"),
-        normalize_level(F.col("D2C")).alias("other"),
+        F.expr(normalize_level("NC")).alias("nc"),
+        F.expr(normalize_level("D2C")).alias("other"),
     )
 
 
@@ -362,15 +362,15 @@ def p3(spark, sf):
     "p4_place_key",
     from_inputs(
         ("cells",),
-        f"SELECT NC, D1C, {level(cleaned('NC'))} AS place_level, {cleaned('D1C')} AS place"
-        " FROM cells",
+        f"SELECT NC AS raw_level, D1C AS raw_place, {level(cleaned('NC'))} AS nc,"
+        f" {cleaned('D1C')} AS d1c FROM cells",
     ),
 )
 def p4(spark, sf):
-    nc, d1c = place_key()
-    return inputs.source(spark, sf, "cells").select(
-        "NC", "D1C", nc.alias("place_level"), d1c.alias("place")
+    raw = inputs.source(spark, sf, "cells").select(
+        F.col("NC").alias("raw_level"), F.col("D1C").alias("raw_place")
     )
+    return with_place_key(raw, "raw_level", "raw_place")
 
 
 @query(
@@ -386,7 +386,8 @@ FROM (SELECT MC AS mc, {nulled('D2C')} AS d2c, D4C AS d4c, D5C AS d5c,
 )
 def p5(spark, sf):
     raw = complete_raw(null_sentinels(inputs.source(spark, sf, "cells")))
-    return raw.select(*dimension_key()).groupBy(*DIMENSION_KEY).count().withColumnRenamed("count", "n")
+    keys = raw.selectExpr(*dimension_key())
+    return keys.groupBy(*DIMENSION_KEY).agg(F.count(F.lit(1)).alias("n"))
 
 
 _NAME_COLUMNS = ("mn", "d2n", *(f"d{s}n" for s in SLOTS))
@@ -403,7 +404,7 @@ _NAME_COLUMNS = ("mn", "d2n", *(f"d{s}n" for s in SLOTS))
 )
 def p6(spark, sf):
     raw = complete_raw(null_sentinels(inputs.source(spark, sf, "cells")))
-    return raw.select(*dimension_names())
+    return raw.selectExpr(*dimension_names())
 
 
 @query(
@@ -429,7 +430,7 @@ def p7(spark, sf):
 )
 def p8(spark, sf):
     return inputs.source(spark, sf, "cells").select(
-        F.col("V").alias("v"), numeric_value(F.col("V")).alias("valor")
+        F.col("V").alias("v"), F.expr(numeric_value("V")).alias("valor")
     )
 
 
@@ -477,7 +478,7 @@ def p10(spark, sf):
 )
 def p10_value(spark, sf):
     return inputs.source(spark, sf, "cells").select(
-        F.col("V").alias("v"), value_flag(F.col("V")).alias("flag")
+        F.col("V").alias("v"), F.expr(value_flag("V")).alias("flag")
     )
 
 

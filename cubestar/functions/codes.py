@@ -1,9 +1,12 @@
-"""Column expressions for raw codes, values and keys."""
+"""Expressions for raw codes, values and keys, as SQL text.
+
+Each function takes a column name or expression and gives one back, for
+``selectExpr`` or ``F.expr``; an expression of many columns is then one call.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from cubestar.schema import (
     NULL_SENTINELS,
@@ -14,117 +17,115 @@ from cubestar.schema import (
 
 # The characters counted as white space at the edges of a code.
 WHITE_SPACE = (
-    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
-    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
-    "\u2028\u2029\u202f\u205f\u3000"
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0"
+    "\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008"
+    "\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 )
+_SENTINELS = ", ".join(f"'{s}'" for s in NULL_SENTINELS)
 
 
-def strip(c: Column) -> Column:
-    return F.btrim(c, F.lit(WHITE_SPACE))
+def null_sentinel(c: str) -> str:
+    """The exact texts ``...`` and ``-`` become NULL."""
+    return f"CASE WHEN {c} NOT IN ({_SENTINELS}) THEN {c} END"
 
 
 def null_sentinels(df: DataFrame, columns=RAW_COLUMNS) -> DataFrame:
-    """The exact texts ``...`` and ``-`` become NULL in every column."""
-    present = [c for c in columns if c in df.columns]
-    return df.withColumns(
-        {c: F.when(~F.col(c).isin(*NULL_SENTINELS), F.col(c)) for c in present}
+    """S2 in every given column the frame has; other columns pass through."""
+    return df.selectExpr(
+        *(
+            f"{null_sentinel(f'`{c}`')} AS `{c}`" if c in columns else f"`{c}`"
+            for c in df.columns
+        )
     )
 
 
-def coerce(c: Column) -> Column:
+def coerce(c: str) -> str:
     """Text of the value, NULL stays NULL."""
-    return c.cast("string")
+    return f"CAST({c} AS STRING)"
+
+
+def strip(c: str) -> str:
+    return f"btrim({c}, '{WHITE_SPACE}')"
+
+
+def stripped_text(c: str) -> str:
+    return strip(f"coalesce({coerce(c)}, '')")
+
+
+def without_decimal(c: str) -> str:
+    """Drop one trailing ``.0``."""
+    return f"CASE WHEN endswith({c}, '.0') THEN left({c}, length({c}) - 2) ELSE {c} END"
 
 
-def clean_code(c: Column) -> Column:
+def clean_code(c: str) -> str:
     """NULL to empty, strip, drop one trailing ``.0``."""
-    text = strip(F.coalesce(coerce(c), F.lit("")))
-    shorter = F.substring(text, F.lit(1), F.length(text) - 2)
-    return F.when(text.endswith(".0"), shorter).otherwise(text)
+    return without_decimal(stripped_text(c))
 
 
-def normalize_level(c: Column) -> Column:
+def normalize_level(c: str) -> str:
     """``6`` becomes ``N6``; ``N6`` and the empty text are kept."""
-    return F.when(
-        (c != "") & ~c.startswith("N"), F.concat(F.lit("N"), c)
-    ).otherwise(c)
+    return f"CASE WHEN {c} <> '' AND NOT startswith({c}, 'N') THEN concat('N', {c}) ELSE {c} END"
 
 
-def place_key() -> tuple[Column, Column]:
-    """(level, place code) of a raw row."""
-    return (
-        normalize_level(clean_code(F.col("NC"))).alias("nc"),
-        clean_code(F.col("D1C")).alias("d1c"),
+def with_place_key(df: DataFrame, level: str = "NC", place: str = "D1C") -> DataFrame:
+    """(level, place code) of raw rows as ``nc`` and ``d1c``.
+
+    One step per select, so that no step repeats the work of the one before.
+    """
+    others = [f"`{c}`" for c in df.columns if c.lower() not in ("nc", "d1c")]
+    stripped = df.selectExpr(
+        *others, f"{stripped_text(level)} AS nc", f"{stripped_text(place)} AS d1c"
+    )
+    codes = stripped.selectExpr(
+        *others, f"{without_decimal('nc')} AS nc", f"{without_decimal('d1c')} AS d1c"
     )
+    return codes.selectExpr(*others, f"{normalize_level('nc')} AS nc", "d1c")
 
 
-def dimension_key() -> list[Column]:
+def dimension_key() -> list[str]:
     """P5: the eight member codes of a raw row, NULL kept."""
-    return [
-        coerce(F.col(c)).alias(c.lower()) for c in ("MC", "D2C", *SLOT_CODES)
-    ]
+    return [f"{coerce(c)} AS {c.lower()}" for c in ("MC", "D2C", *SLOT_CODES)]
 
 
-def dimension_names() -> list[Column]:
+def dimension_names() -> list[str]:
     """Unit and variable names default to empty, category names stay NULL."""
-    filled = [
-        F.coalesce(coerce(F.col(c)), F.lit("")).alias(c.lower())
-        for c in ("MN", "D2N")
-    ]
-    kept = [
-        coerce(F.col(c[:2] + "N")).alias(c[:2].lower() + "n") for c in SLOT_CODES
-    ]
-    return filled + kept
+    filled = [f"coalesce({coerce(c)}, '') AS {c.lower()}" for c in ("MN", "D2N")]
+    names = [c[:2] + "N" for c in SLOT_CODES]
+    return filled + [f"{coerce(n)} AS {n.lower()}" for n in names]
 
 
-def numeric_value(v: Column, strict: bool = False) -> Column:
+def numeric_value(v: str, strict: bool = False) -> str:
     """The number a value text starts like, else NULL.
 
     The guard looks only at the first characters; a text such as ``12abc``
     passes it and then fails the cast when ``strict``, or gives NULL.
     """
-    number = v.cast("decimal(38,10)") if strict else v.try_cast("decimal(38,10)")
-    return F.when(v.rlike(NUMBER_PREFIX), number)
+    cast = "CAST" if strict else "try_cast"
+    return f"CASE WHEN {v} RLIKE '{NUMBER_PREFIX}' THEN {cast}({v} AS DECIMAL(38,10)) END"
 
 
-def value_flag(v: Column) -> Column:
+def value_flag(v: str) -> str:
     """P10: number, one of the documented flags, or other."""
     return (
-        F.when(v.rlike(NUMBER_PREFIX), F.lit("number"))
-        .when(v.isin("X", "C", "..", "...", "-"), v)
-        .otherwise(F.lit("other"))
+        f"CASE WHEN {v} RLIKE '{NUMBER_PREFIX}' THEN 'number'"
+        f" WHEN {v} IN ('X', 'C', '..', '...', '-') THEN {v} ELSE 'other' END"
     )
 
 
-def content_key(*columns: Column) -> Column:
+def content_key(*columns: str) -> str:
     """md5 over length-prefixed parts, so NULL, empty and shifts differ."""
-    parts = [
-        F.when(c.isNull(), F.lit("n")).otherwise(
-            F.concat(F.lit("v"), F.length(c).cast("string"), F.lit(":"), c)
-        )
+    parts = ", ".join(
+        f"coalesce(concat('v', CAST(length({c}) AS STRING), ':', {c}), 'n')"
         for c in columns
-    ]
-    return F.md5(F.concat(*parts))
+    )
+    return f"md5(concat({parts}))"
 
 
-def literals_text(c: Column) -> Column:
+def literals_text(c: str) -> str:
     """One text per list of texts; NULL stays NULL and differs from empty."""
-    return F.concat(
-        F.size(c).cast("string"),
-        F.array_join(
-            F.transform(
-                c,
-                lambda x: F.when(x.isNull(), F.lit("|n")).otherwise(
-                    F.concat(
-                        F.lit("|"), F.length(x).cast("string"), F.lit(":"), x
-                    )
-                ),
-            ),
-            "",
-        ),
-    )
+    item = "coalesce(concat('|', CAST(length(x) AS STRING), ':', x), '|n')"
+    return f"concat(CAST(size({c}) AS STRING), array_join(transform({c}, x -> {item}), ''))"
 
 
-def period_key(codigo: Column, literals: Column) -> Column:
+def period_key(codigo: str, literals: str) -> str:
     return content_key(codigo, literals_text(literals))

@@ -11,8 +11,8 @@ from cubestar.functions.codes import (
     dimension_key,
     dimension_names,
     period_key,
-    place_key,
-    strip,
+    stripped_text,
+    with_place_key,
 )
 from cubestar.schema import (
     DIMENSION_COLUMNS,
@@ -26,13 +26,8 @@ from cubestar.sources.metadata import catalogue_rows, period_rows, place_rows
 
 def complete_raw(df: DataFrame) -> DataFrame:
     """Add the raw columns a source does not have, as NULL text."""
-    return df.withColumns(
-        {
-            c: F.lit(None).cast("string")
-            for c in RAW_COLUMNS
-            if c not in df.columns
-        }
-    )
+    missing = [c for c in RAW_COLUMNS if c not in df.columns]
+    return df.selectExpr("*", *(f"CAST(NULL AS STRING) AS {c}" for c in missing))
 
 
 def with_values(observations: DataFrame) -> DataFrame:
@@ -93,38 +88,38 @@ def _first(
     )
 
 
-def place_id() -> Column:
-    return content_key(F.col("nc"), F.col("d1c"))
-
-
-def dimension_id() -> Column:
-    return content_key(*(F.col(c) for c in DIMENSION_KEY))
+PLACE_ID = content_key("nc", "d1c")
+DIMENSION_ID = content_key(*DIMENSION_KEY)
 
 
 def keyed_rows(observations: DataFrame) -> DataFrame:
     """Valued rows with place and member codes, names, period and value."""
     df = with_values(complete_raw(observations))
     carried = [c for c in ("tabela_sidra_id", *ORDER_COLUMNS) if c in df.columns]
-    return df.select(
+    rows = df.selectExpr(
         *carried,
-        *place_key(),
-        coerce(F.col("NN")).alias("nn"),
-        coerce(F.col("D1N")).alias("d1n"),
+        "NC",
+        f"{coerce('NN')} AS nn",
+        "D1C",
+        f"{coerce('D1N')} AS d1n",
         *dimension_key(),
         *dimension_names(),
-        coerce(F.col("D3C")).alias("codigo"),
-        coerce(F.col("V")).alias("v"),
+        f"{coerce('D3C')} AS codigo",
+        f"{coerce('V')} AS v",
     )
+    return with_place_key(rows)
 
 
 def places_of(rows: DataFrame) -> DataFrame:
     """D1 on keyed rows; names are stripped once per place."""
     first = _first(rows, ["nc", "d1c"], ["nn", "d1n"])
-
-    def name(c: str) -> Column:
-        return strip(F.coalesce(c, F.lit(""))).alias(c)
-
-    return first.select(place_id().alias("id"), "nc", name("nn"), "d1c", name("d1n"))
+    return first.selectExpr(
+        f"{PLACE_ID} AS id",
+        "nc",
+        f"{stripped_text('nn')} AS nn",
+        "d1c",
+        f"{stripped_text('d1n')} AS d1n",
+    )
 
 
 def distinct_places(observations: DataFrame) -> DataFrame:
@@ -139,7 +134,7 @@ def dimensions_of(rows: DataFrame, keep_unmatchable: bool = False) -> DataFrame:
     values = [c for c in DIMENSION_COLUMNS if c not in DIMENSION_KEY]
     first = _first(rows, list(DIMENSION_KEY), values)
     filled = first.withColumn("d2c", F.coalesce("d2c", F.lit("")))
-    return filled.select(dimension_id().alias("id"), *DIMENSION_COLUMNS)
+    return filled.selectExpr(f"{DIMENSION_ID} AS id", *DIMENSION_COLUMNS)
 
 
 def distinct_dimensions(
@@ -159,7 +154,7 @@ def distinct_period_codes(
     """D3: period codes of the rows with a value; NULL and empty left out."""
     return (
         with_values(observations)
-        .select(*by, coerce(F.col("D3C")).alias("codigo"))
+        .selectExpr(*by, f"{coerce('D3C')} AS codigo")
         .filter(F.col("codigo") != "")
         .distinct()
     )
@@ -181,13 +176,13 @@ def places_from_metadata(metadata: DataFrame) -> DataFrame:
     first = _first(
         rows, ["nc", "d1c"], ["nn", "d1n"], order=["tabela_sidra_id", "pos"]
     )
-    return first.select(place_id().alias("id"), "nc", "nn", "d1c", "d1n")
+    return first.selectExpr(f"{PLACE_ID} AS id", "nc", "nn", "d1c", "d1n")
 
 
 def periods_from_metadata(metadata: DataFrame) -> DataFrame:
     """Distinct periods of all cubes; the last cube and position give the attributes."""
     rows = period_rows(metadata).withColumn(
-        "id", period_key(F.col("codigo"), F.col("literals"))
+        "id", F.expr(period_key("codigo", "literals"))
     )
     attributes = ["codigo", "literals", *PERIOD_ATTRIBUTES]
     last = rows.groupBy("id").agg(

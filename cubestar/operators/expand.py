@@ -11,13 +11,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cubestar.functions.codes import coerce
 from cubestar.schema import DIMENSION_COLUMNS, MAX_SLOTS, SLOTS
 
 BLOCK_SIZE = 65_536
 _TEXT_LISTS = "map<string,array<string>>"
 
 
+def _text(c: Column) -> Column:
+    return c.cast("string")
+
+
 def _classes(metadata: DataFrame) -> Column:
     """Classifications of a cube; a cube without the field has none."""
     empty = F.array().cast(metadata.schema["classificacoes"].dataType)
@@ -116,14 +119,14 @@ def dimension_members(
     for i, s in enumerate(SLOTS[:MAX_SLOTS]):
         member = F.get("combo", F.lit(i))
         slots += [
-            coerce(member["id"]).alias(f"d{s}c"),
+            _text(member["id"]).alias(f"d{s}c"),
             member["nome"].alias(f"d{s}n"),
         ]
     return rows.select(
         "tabela_sidra_id",
         F.lit(None).cast("string").alias("mc"),
         F.coalesce("own_unit", F.col("var.unidade")).alias("mn"),
-        coerce(F.col("var.id")).alias("d2c"),
+        _text(F.col("var.id")).alias("d2c"),
         F.col("var.nome").alias("d2n"),
         *slots,
     )
@@ -180,7 +183,7 @@ def unnest_requests(
             lambda c: F.struct(
                 c["id"].alias("id"),
                 F.filter(
-                    c["categorias"], lambda k: coerce(k["id"]) != "0"
+                    c["categorias"], lambda k: _text(k["id"]) != "0"
                 ).alias("categorias"),
             ),
         ),
@@ -189,8 +192,8 @@ def unnest_requests(
     return rows.withColumn(
         "combination",
         F.map_from_arrays(
-            F.transform(column, lambda c: coerce(c["id"])),
-            F.transform("combo", lambda k: F.array(coerce(k["id"]))),
+            F.transform(column, lambda c: _text(c["id"])),
+            F.transform("combo", lambda k: F.array(_text(k["id"]))),
         ),
     ).drop("block", "n", "combo", column)
 
@@ -226,17 +229,17 @@ def expand_requests(
     listed = F.col("unnest") == "listed"
 
     def is_listed(c: Column) -> Column:
-        return F.array_contains("unnest_ids", coerce(c["id"]))
+        return F.array_contains("unnest_ids", _text(c["id"]))
 
     declared = F.coalesce("classifications", empty_map)
     rest = F.filter(
         "classificacoes",
-        lambda c: ~is_listed(c) & ~F.map_contains_key(declared, coerce(c["id"])),
+        lambda c: ~is_listed(c) & ~F.map_contains_key(declared, _text(c["id"])),
     )
     static = F.map_concat(
         declared,
         F.map_from_arrays(
-            F.transform(rest, lambda c: coerce(c["id"])),
+            F.transform(rest, lambda c: _text(c["id"])),
             F.transform(rest, lambda c: F.array(F.lit("all"))),
         ),
     )
@@ -280,7 +283,7 @@ def plan_periods(
     described = metadata.withColumn("classificacoes", _classes(metadata)).select(
         F.col("id").alias("tabela_sidra"),
         F.map_from_arrays(
-            F.transform("classificacoes", lambda c: coerce(c["id"])),
+            F.transform("classificacoes", lambda c: _text(c["id"])),
             F.transform("classificacoes", lambda c: F.array().cast("array<string>")),
         ).alias("declared"),
         "periodos",

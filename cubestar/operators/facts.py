@@ -113,12 +113,10 @@ def merge_touched(
         # A batch may bring an older revision than the one stored. The stored
         # side has no other pairs than the batch, so this is as small.
         newest = broadcast_if_small(
-            stage(
-                latest.unionByName(latest_modification(touched))
-                .groupBy(*FACT_PARTITIONS)
-                .agg(F.max("max_modificacao").alias("max_modificacao")),
-                "newest",
-            )
+            latest.unionByName(latest_modification(touched))
+            .groupBy(*FACT_PARTITIONS)
+            .agg(F.max("max_modificacao").alias("max_modificacao")),
+            count_of=latest,
         )
     everything = touched.unionByName(
         added.withColumn("inserted", F.lit(True))
@@ -165,7 +163,5 @@ def load_report(resolved: DataFrame, merged: DataFrame) -> DataFrame:
 
 def with_fact_id(facts: DataFrame) -> DataFrame:
     """D8 for facts: computed when asked for instead of stored per row."""
-    key = (*CELL_KEY, "modificacao")
-    return facts.withColumn(
-        "id", content_key(*(F.col(c).cast("string") for c in key))
-    )
+    key = (*CELL_KEY, "CAST(modificacao AS STRING)")
+    return facts.withColumn("id", F.expr(content_key(*key)))

@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 
 from cubestar.functions.codes import coerce
 from cubestar.operators.dimensions import (
-    dimension_id,
+    DIMENSION_ID,
+    PLACE_ID,
     keyed_rows,
     order_columns,
-    place_id,
     with_values,
 )
 from cubestar.schema import DIMENSION_COLUMNS, DIMENSION_KEY
@@ -130,7 +130,7 @@ def period_match_ratio(
     """A5: per cube, distinct period codes in the data and how many resolve."""
     codes = (
         with_values(observations)
-        .select("tabela_sidra_id", coerce(F.col("D3C")).alias("codigo"))
+        .selectExpr("tabela_sidra_id", f"{coerce('D3C')} AS codigo")
         .filter("codigo <> ''")
         .distinct()
     )
@@ -142,10 +142,17 @@ def period_match_ratio(
 
 
 def _with_period_id(df, periodo, tabela_sidra, frequencies):
-    groups = broadcast_if_small(table_group(tabela_sidra, frequencies))
-    by_code = broadcast_if_small(
-        period_by_group(periodo, frequencies).select("grupo", "codigo", "periodo_id")
+    # One row per cube, and one or two per period unless frequencies are given.
+    groups = broadcast_if_small(
+        table_group(tabela_sidra, frequencies), count_of=tabela_sidra
     )
+    by_code = period_by_group(periodo, frequencies).select(
+        "grupo", "codigo", "periodo_id"
+    )
+    if frequencies is None:
+        by_code = broadcast_if_small(by_code, 100_000, count_of=periodo)
+    else:
+        by_code = broadcast_if_small(by_code)
     return (
         df.join(groups, "tabela_sidra_id", "left")
         .withColumn("grupo", F.coalesce("grupo", F.lit("")))
@@ -154,11 +161,11 @@ def _with_period_id(df, periodo, tabela_sidra, frequencies):
     )
 
 
-def _first_failure():
-    reason = F.lit(None).cast("string")
-    for name in reversed(REJECT_REASONS):
-        reason = F.when(F.col(f"{name}_id").isNull(), F.lit(name)).otherwise(reason)
-    return reason
+_FIRST_FAILURE = (
+    "CASE "
+    + " ".join(f"WHEN {name}_id IS NULL THEN '{name}'" for name in REJECT_REASONS)
+    + " END"
+)
 
 
 def resolve_cells(
@@ -177,11 +184,8 @@ def resolve_cells(
     cells = cells.join(place_lookup(localidade), ["nc", "d1c"], "left")
     dims = dimension_lookup(dimensao).filter(F.col("d2c").isNotNull())
     renamed = dims.select(*(F.col(c).alias(f"k_{c}") for c in DIMENSION_KEY), "dimensao_id")
-    same = [F.col(c).eqNullSafe(F.col(f"k_{c}")) for c in DIMENSION_KEY]
-    condition = same[0]
-    for term in same[1:]:
-        condition = condition & term
-    cells = cells.join(renamed, condition, "left").drop(
+    same = F.expr(" AND ".join(f"{c} <=> k_{c}" for c in DIMENSION_KEY))
+    cells = cells.join(renamed, same, "left").drop(
         *(f"k_{c}" for c in DIMENSION_KEY)
     )
     cells = _with_period_id(cells, periodo, tabela_sidra, frequencies)
@@ -201,11 +205,10 @@ def resolve_by_content(
     a lookup would miss is one with a NULL variable code. ``keep_names`` keeps
     the codes and names of the members next to the ids.
     """
-    cells = keyed_rows(observations).withColumns(
-        {
-            "localidade_id": place_id(),
-            "dimensao_id": F.when(F.col("d2c").isNotNull(), dimension_id()),
-        }
+    cells = keyed_rows(observations).selectExpr(
+        "*",
+        f"{PLACE_ID} AS localidade_id",
+        f"CASE WHEN d2c IS NOT NULL THEN {DIMENSION_ID} END AS dimensao_id",
     )
     names = ["nc", "nn", "d1c", "d1n", *DIMENSION_COLUMNS] if keep_names else []
     return _resolved(
@@ -214,15 +217,15 @@ def resolve_by_content(
 
 
 def _resolved(cells: DataFrame, names: list[str] | None = None) -> DataFrame:
-    return cells.select(
+    return cells.selectExpr(
         "tabela_sidra_id",
         "localidade_id",
         "dimensao_id",
         "periodo_id",
         "codigo",
         *order_columns(cells),
-        F.lit(True).alias("ativo"),
+        "true AS ativo",
         "v",
-        _first_failure().alias("reject_reason"),
+        f"{_FIRST_FAILURE} AS reject_reason",
         *(names or []),
     )

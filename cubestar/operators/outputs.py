@@ -42,7 +42,7 @@ def flatten(
     """
     return join_star(star, tables).select(
         *(F.col(source).alias(name) for name, source in columns.items()),
-        numeric_value(F.col("d.v"), strict).alias("valor"),
+        F.expr(numeric_value("d.v", strict)).alias("valor"),
     )
 
 
@@ -74,7 +74,7 @@ def annual_summary(
 
 def flag_profile(facts: DataFrame, value: str = "v") -> DataFrame:
     """P10: how many values of each cube are numbers or one of the flags."""
-    return facts.groupBy("tabela_sidra_id", value_flag(F.col(value)).alias("flag")).agg(
+    return facts.groupBy("tabela_sidra_id", F.expr(value_flag(value)).alias("flag")).agg(
         F.count(F.lit(1)).alias("n")
     )
 

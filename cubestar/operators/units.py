@@ -18,8 +18,8 @@ from cubestar.sources.workdir import broadcast_if_small, stage
 NULL_TEXT = "None"
 
 
-def _member(c: str):
-    return F.coalesce(coerce(F.col(c)), F.lit(NULL_TEXT))
+def _member(c: str) -> str:
+    return f"coalesce({coerce(c)}, '{NULL_TEXT}') AS k_{c.lower()}"
 
 
 def enrich_units(members: DataFrame, observations: DataFrame) -> DataFrame:
@@ -30,12 +30,12 @@ def enrich_units(members: DataFrame, observations: DataFrame) -> DataFrame:
     """
     codes = ["D2C", *SLOT_CODES]
     raw = complete_raw(observations).filter(F.col("MC").isNotNull())
-    seen = raw.select(
+    seen = raw.selectExpr(
         "tabela_sidra_id",
         *order_columns(raw),
-        *(_member(c).alias(f"k_{c.lower()}") for c in codes),
-        strip(coerce(F.col("MC"))).alias("seen_mc"),
-        strip(coerce(F.col("MN"))).alias("seen_mn"),
+        *(_member(c) for c in codes),
+        f"{strip(coerce('MC'))} AS seen_mc",
+        f"{strip(coerce('MN'))} AS seen_mn",
     )
     last = F.max(F.struct("seen_at", "seen_mc"))["seen_mc"]
     keys = [f"k_{c.lower()}" for c in codes]
@@ -50,7 +50,7 @@ def enrich_units(members: DataFrame, observations: DataFrame) -> DataFrame:
     # One cube and unit may hold most members, so the few names are written
     # and broadcast after a count instead of shuffling members by name.
     by_name = broadcast_if_small(stage(by_name, "unit-names"))
-    keyed = members.withColumns({f"k_{c.lower()}": _member(c.lower()) for c in codes})
+    keyed = members.selectExpr("*", *(_member(c.lower()) for c in codes))
     return (
         keyed.join(by_combo, ["tabela_sidra_id", *keys], "left")
         .join(

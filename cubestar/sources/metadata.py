@@ -61,7 +61,7 @@ def place_rows(metadata: DataFrame) -> DataFrame:
     return exploded.select(
         "tabela_sidra_id",
         "pos",
-        normalize_level(F.coalesce("l.nivel.id", F.lit(""))).alias("nc"),
+        F.expr(normalize_level("coalesce(l.nivel.id, '')")).alias("nc"),
         F.coalesce("l.nivel.nome", F.lit("")).alias("nn"),
         F.coalesce("l.id", F.lit("")).alias("d1c"),
         F.coalesce("l.nome", F.lit("")).alias("d1n"),

@@ -39,12 +39,16 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = 200_000) -> DataFrame:
+def broadcast_if_small(
+    df: DataFrame, max_rows: int = 200_000, count_of: DataFrame | None = None
+) -> DataFrame:
     """Hint a broadcast only after counting that the side is small.
 
-    Meant for narrow lookup sides. Beyond ``max_rows`` the side is returned
+    Meant for narrow lookup sides. ``count_of`` is a frame that is cheaper to
+    count and bounds the side. Beyond ``max_rows`` the side is returned
     unchanged and the join shuffles, with AQE splitting skewed partitions.
     """
-    if df.limit(max_rows + 1).count() <= max_rows:
+    counted = df.limit(max_rows + 1) if count_of is None else count_of
+    if counted.count() <= max_rows:
         return F.broadcast(df)
     return df
