@@ -168,24 +168,25 @@ UNION ALL SELECT cube, pos, '41', 1, cat, cat,
                  CASE WHEN cat LIKE '%5' THEN 'Box' END FROM brands""",
     "meta_periods": f"""
 WITH months AS (SELECT DISTINCT {_MONTH} AS ym FROM orders o),
+cube_months AS (
+  SELECT 'T1' AS cube, ym FROM months UNION ALL SELECT 'T3', ym FROM months),
 semesters AS (
-  SELECT DISTINCT year(o.o_orderdate) AS y,
+  SELECT DISTINCT l.l_suppkey AS sk, year(o.o_orderdate) AS y,
          CASE WHEN month(o.o_orderdate) <= 6 THEN 1 ELSE 2 END AS s
-  FROM orders o),
-monthly AS (SELECT 'T1' AS cube UNION ALL SELECT 'T3')
-SELECT m.cube AS tabela_sidra_id, CAST(ym AS VARCHAR(40)) AS codigo,
+  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey)
+SELECT cube AS tabela_sidra_id, CAST(ym AS VARCHAR(40)) AS codigo,
        'mensal' AS frequencia,
        CAST(substr(CAST(ym AS VARCHAR(40)), 1, 4) AS INT) AS ano,
        CAST(NULL AS INT) AS semestre,
        CAST(substr(CAST(ym AS VARCHAR(40)), 5, 2) AS INT) AS mes,
        CAST('2024-01-01' AS DATE) AS modificacao
-FROM months JOIN monthly m ON 1 = 1
+FROM cube_months
 UNION ALL SELECT 'T2', '1996', 'anual', 1996, CAST(NULL AS INT),
                  CAST(NULL AS INT), CAST('2024-01-01' AS DATE)
-UNION ALL SELECT concat('S', CAST(s_suppkey AS VARCHAR(40))),
+UNION ALL SELECT concat('S', CAST(sk AS VARCHAR(40))),
                  CAST(y * 100 + s AS VARCHAR(40)), 'semestral', CAST(y AS INT),
                  s, CAST(NULL AS INT), CAST('2024-01-15' AS DATE)
-FROM supplier JOIN semesters ON 1 = 1""",
+FROM semesters""",
     "meta_places": """
 SELECT 'T1' AS tabela_sidra_id, '3' AS nivel, 'Nation' AS nivel_nome,
        CAST(n_nationkey AS VARCHAR(40)) AS id, n_name AS nome FROM nation
@@ -239,11 +240,15 @@ def _once(spark: SparkSession, sf_dir: str, name: str, write) -> str:
 
 
 def source(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A derived input, written once per session as a source would be."""
-    path = _once(
-        spark, sf_dir, name,
-        lambda p: derive(spark, sf_dir, name).write.parquet(p),
-    )
+    """A derived input, written once per session as a source would be: in even files."""
+
+    def write(path: str) -> None:
+        even = derive(spark, sf_dir, name).repartition(
+            spark.sparkContext.defaultParallelism
+        )
+        even.write.parquet(path)
+
+    path = _once(spark, sf_dir, name, write)
     return spark.read.parquet(path)
 
 

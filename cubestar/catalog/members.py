@@ -200,8 +200,8 @@ def x6(spark, sf):
     "x6_combined_with_unnest",
     from_inputs(
         _META,
-        f"""SELECT c.id AS tabela_sidra, v.v AS variables, c.classifications
-FROM ({_COMBINATION}) AS c JOIN (SELECT '1' AS v UNION ALL SELECT '2') v ON TRUE""",
+        f"""SELECT c.id AS tabela_sidra, unnest(['1', '2']) AS variables, c.classifications
+FROM ({_COMBINATION}) AS c""",
         _MEMBERS,
     ),
 )
