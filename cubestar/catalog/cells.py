@@ -37,7 +37,6 @@ from cubestar.operators.lookups import (
     period_lookup,
     period_match_ratio,
     place_lookup,
-    resolve_by_content,
     resolve_cells,
     table_periodicity,
 )

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from cubestar.catalog import inputs
-from cubestar.catalog.inputs import with_inputs
 from cubestar.catalog.oracle import (
     RAW,
     cells,

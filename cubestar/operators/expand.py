@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cubestar.schema import DIMENSION_COLUMNS, MAX_SLOTS, SLOTS
+from cubestar.schema import MAX_SLOTS, SLOTS
 
 BLOCK_SIZE = 65_536
 _TEXT_LISTS = "map<string,array<string>>"

@@ -5,7 +5,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from cubestar.operators.facts import batch_cells, accepted
+from cubestar.operators.facts import batch_cells
 from cubestar.operators.lookups import period_match_ratio
 from cubestar.plans.load import load_batch, load_into, load_metadata, save_metadata
 from cubestar.schema import FACT_COLUMNS, empty_star
