@@ -4,13 +4,13 @@ import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
 from compare import differences
-
-QUERIES = queries()
-ORACLES = oracle_sql()
+from cubestar.catalog.registry import ORACLES, QUERIES
 
 
 def test_every_query_has_a_comparison():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(queries())
+    assert set(ORACLES) <= set(oracle_sql())
 
 
 def test_entry(spark):
