@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cubestar.llm import chat_format, mixing, quality, token_planes, url_rules
+from cubestar.llm import chat_format, mixing, quality, simhash, token_planes, url_rules
 from cubestar.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -74,6 +74,11 @@ def op1_chat_format(spark, sf_dir):
     )
 
 
+@query("op4_simhash")
+def op4_simhash(spark, sf_dir):
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 @query("op5_fertility")
 def op5_fertility(spark, sf_dir):
     return quality.assess(table(spark, sf_dir, "documents"), carry=["doc_id"])
