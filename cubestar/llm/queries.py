@@ -7,7 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cubestar.llm import chat_format, mixing, quality, simhash, token_planes, url_rules
+from cubestar.llm import (
+    attribution,
+    chat_format,
+    decontaminate,
+    mixing,
+    quality,
+    simhash,
+    token_planes,
+    toxicity,
+    url_rules,
+)
 from cubestar.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -74,6 +84,17 @@ def op1_chat_format(spark, sf_dir):
     )
 
 
+@query("op2_token_attribution")
+def op2_token_attribution(spark, sf_dir):
+    return attribution.count_tokens(table(spark, sf_dir, "documents"), carry=["doc_id"])
+
+
+@query("op3_toxicity")
+def op3_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
 @query("op4_simhash")
 def op4_simhash(spark, sf_dir):
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
@@ -189,3 +210,8 @@ FROM parts LEFT JOIN sites ON parts.url = sites.url LEFT JOIN junk ON parts.url
 def op9_url_rules(spark, sf_dir):
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     return url_rules.judge_urls(pages, SITE_RULES).drop("url")
+
+
+@query("op10_decontaminate")
+def op10_decontaminate(spark, sf_dir):
+    return decontaminate.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

@@ -44,7 +44,7 @@ def _word_tokenizer(path: str):
     tokenizer = Tokenizer.from_file(path)
 
     def encode(words: list[bytes]):
-        return [e.ids for e in tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)]
+        return [e.ids for e in tokenizer.encode_batch_fast([w.decode(errors="replace") for w in words], add_special_tokens=False)]
 
     return encode
 
@@ -53,7 +53,7 @@ def _piece_tokenizer(path: str):
     import sentencepiece
 
     model = sentencepiece.SentencePieceProcessor(model_file=path)
-    return lambda words: model.encode([w.decode() for w in words], num_threads=1)
+    return lambda words: model.encode([w.decode(errors="replace") for w in words], num_threads=1)
 
 
 def cache_of(kind: str, path: str) -> WordCache:
