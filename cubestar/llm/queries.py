@@ -14,6 +14,7 @@ from cubestar.llm import (
     mixing,
     quality,
     simhash,
+    suffix_dedup,
     token_planes,
     toxicity,
     url_rules,
@@ -105,6 +106,11 @@ def op5_fertility(spark, sf_dir):
     return quality.assess(table(spark, sf_dir, "documents"), carry=["doc_id"])
 
 
+@query("op6_suffix_dedup")
+def op6_suffix_dedup(spark, sf_dir):
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 @query("op7_token_planes")
 def op7_token_planes(spark, sf_dir):
     return token_planes.store_tokens(table(spark, sf_dir, "documents").select("doc_id", "text"))
