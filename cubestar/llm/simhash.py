@@ -79,19 +79,29 @@ def fingerprint(text: bytes, shingle: int = SHINGLE_WORDS) -> int:
 
 
 def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, fp (signed long) of every row; a null text is empty."""
+    """doc_id, tag, fp (signed long) of every row; a null text is empty.
+
+    The tag is a hash of the text, for telling rows of one id apart.
+    """
 
     def step():
         def run(batch):
-            values = np.fromiter((fingerprint(t.as_py()) for t in batch.column(1)), np.uint64, batch.num_rows)
+            values = np.fromiter((fingerprint(t.as_py()) for t in batch.column(2)), np.uint64, batch.num_rows)
             return pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(values.view(np.int64))], names=["doc_id", "fp"]
+                [batch.column(0), batch.column(1), pa.array(values.view(np.int64))],
+                names=["doc_id", "tag", "fp"],
             )
 
         return run
 
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), utf8(text).alias("text"))
-    return map_batches(rows, step, "doc_id long, fp long")
+    rows = docs.select(
+        F.col(doc_id).cast("long").alias("doc_id"), _tag(text).alias("tag"), utf8(text).alias("text")
+    )
+    return map_batches(rows, step, "doc_id long, tag long, fp long")
+
+
+def _tag(text: str) -> F.Column:
+    return F.xxhash64(utf8(text))
 
 
 def _linked(left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -207,6 +217,18 @@ def links(entries: DataFrame, block: int = BLOCK, max_blocks: int = MAX_BLOCKS)
     return found.distinct()
 
 
+def _classes(rows: DataFrame, least: F.Column) -> DataFrame:
+    """fp, least: the smallest value of the column in each fingerprint's component."""
+    entries = stage(rows.groupBy("fp").agg(F.min(least).alias("least")), "entries")
+    roots = connected_components(links(entries))
+    labelled = entries.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
+        "fp", "least", F.coalesce("root", "fp").alias("root")
+    )
+    return labelled.select("fp", "root").join(
+        labelled.groupBy("root").agg(F.min("least").alias("least")), "root"
+    ).select("fp", "least")
+
+
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, fingerprint, component_id of every row.
 
@@ -215,16 +237,29 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     Rows with a null id take part; where a component has no other id, its id is
     null. Repeated rows are returned each; other columns are ignored.
     """
-    rows = stage(fingerprints(docs, doc_id, text), "fingerprints")
-    entries = stage(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "entries")
-    roots = connected_components(links(entries))
-    labelled = entries.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
-        "fp", "least", F.coalesce("root", "fp").alias("root")
-    )
-    ids = labelled.groupBy("root").agg(F.min("least").alias("component_id"))
-    classes = labelled.join(ids, "root").select("fp", "component_id")
-    return rows.join(classes, "fp").select(
+    rows = stage(fingerprints(docs, doc_id, text).drop("tag"), "fingerprints")
+    return rows.join(_classes(rows, F.col("doc_id")), "fp").select(
         "doc_id",
         F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
-        "component_id",
+        F.col("least").alias("component_id"),
+    )
+
+
+def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row of each component, with all its columns.
+
+    It is the row with the smallest id (null ids last), of several texts under
+    that id the one with the smallest hash, and of repeated rows any one.
+    """
+    rows = stage(fingerprints(docs, doc_id, text), "fingerprints")
+    least = F.struct(F.col("doc_id").isNull(), "doc_id", "tag")
+    named = rows.join(_classes(rows, least), "fp")
+    others = named.where(~(F.col("doc_id").eqNullSafe(F.col("least.doc_id")) & (F.col("tag") == F.col("least.tag"))))
+    dropped = others.select(F.col("doc_id").alias("_id"), F.col("tag").alias("_other")).distinct()
+    tagged = docs.withColumn("_tag", _tag(text))
+    kept = tagged.join(
+        dropped, F.col(doc_id).cast("long").eqNullSafe(F.col("_id")) & (F.col("_tag") == F.col("_other")), "left_anti"
     )
+    if not rows.groupBy("doc_id", "tag").agg(F.count("*").alias("n")).where("n > 1").isEmpty():
+        kept = kept.dropDuplicates([doc_id, "_tag"])
+    return kept.drop("_tag")
