@@ -7,6 +7,7 @@ return the columns of documents.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from cubestar.llm import decontaminate, mixing, quality, simhash, token_planes
 from cubestar.sources.workdir import new_path
@@ -17,8 +18,8 @@ ORACLE_SQL = None
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the base rules and the fertility bands keep."""
-    judged = quality.assess(docs)
-    return judged.where("kept").select(*docs.columns)
+    rows = docs.select(F.struct("*").alias("row"), "text", "lang")
+    return quality.assess(rows, carry=["row"]).where("kept").select("row.*")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cubestar.llm.common import with_columns
 from cubestar.llm.tokenizing import vocabulary_path
 
 SCHEMA = (
@@ -107,7 +108,7 @@ def count_tokens(
     ``n_tokens``. A null or empty text has no tokens. Repeated rows are counted
     each; carried columns with the name of a result are replaced.
     """
-    carry = [c for c in (docs.columns if carry is None else carry) if c not in _NAMES]
+    carry = [c for c in (docs.columns if carry is None else carry) if c.lower() not in _NAMES]
     path = vocabulary or vocabulary_path("byte_bpe_50k.tiktoken")
     spans = (
         F.col(sections).cast("array<struct<start:long,end:long>>")
@@ -115,7 +116,7 @@ def count_tokens(
         else F.lit(None).cast("array<struct<start:long,end:long>>")
     )
     work = docs.select(*carry, F.coalesce(text, F.lit("")).alias("_text"), spans.alias("_sections"))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*carry).schema)
+    schema = with_columns(docs.select(*carry).schema, SCHEMA)
     types = [pa.int64()] * 5 + [pa.list_(pa.int64())]
 
     def run(batches):
@@ -137,4 +138,4 @@ def count_tokens(
                 [batch.column(i) for i in range(len(carry))] + columns, names=[*carry, *_NAMES]
             )
 
-    return work.mapInArrow(run, f"{schema}, {SCHEMA}" if schema else SCHEMA)
+    return work.mapInArrow(run, schema)

@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Words are runs of anything but ASCII blanks; ``bytes.split()`` cuts the same way.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -42,6 +43,11 @@ def map_batches(
     return df.mapInArrow(run, schema)
 
 
+def with_columns(schema: T.StructType, more: str) -> T.StructType:
+    """The schema followed by the columns of a schema text."""
+    return T.StructType([*schema.fields, *T.StructType.fromDDL(more).fields])
+
+
 def bounded_broadcast(df: DataFrame, rows: int, bound: int) -> DataFrame:
     """Hint a broadcast where the counted rows are within the bound."""
     return F.broadcast(df) if rows <= bound else df

@@ -217,6 +217,8 @@ def overlaps(
 
     def run(batches):
         for batch in batches:
+            if not batch.num_rows:
+                continue
             digest, item, shift, segment, codes = (batch.column(i) for i in range(5))
             best = [
                 (best_overlap(np.frombuffer(c.as_py(), np.uint64), np.frombuffer(s.as_py(), np.uint64), d.as_py()), len(c.as_py()) // 8)
@@ -266,13 +268,14 @@ def _item_names(benchmark: DataFrame) -> DataFrame:
     return benchmark.select("item_id", utf8("text").alias("text")).mapInArrow(run, f"item_id {kind}, item long").distinct()
 
 
-def remove_contaminated(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose (id, text) overlaps with no benchmark item.
+def remove_contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
+    """The rows of ``docs``, with all their columns, whose text overlaps with no item.
 
-    Rows are told apart by id and text, so an id that stands for several texts
-    loses only the contaminated ones.
+    The verdict belongs to the text, so an id that stands for several texts loses
+    only the contaminated ones. Null and empty texts stay.
     """
-    keyed = docs.withColumn("_text_key", F.md5(F.coalesce(text, F.lit(""))))
-    keys = keyed.select(F.xxhash64(F.col("_text_key")).alias("_key"), F.col(text).alias("text"))
-    bad = overlaps(keys, benchmark, "_key").select(F.col("doc_id").alias("_bad")).distinct()
-    return keyed.join(bad, F.xxhash64("_text_key") == F.col("_bad"), "left_anti").drop("_text_key")
+    key = F.xxhash64(F.md5(utf8(text)))
+    bad = overlaps(docs.select(key.alias("key"), F.col(text).alias("text")), benchmark, "key", "text")
+    bad = bad.select(F.col("doc_id").alias("bad")).distinct()
+    keyed = docs.select(F.struct("*").alias("row"), key.alias("key"))
+    return keyed.join(bad, F.col("key") == F.col("bad"), "left_anti").select("row.*")

@@ -160,13 +160,12 @@ def mix_plan(
     return sizes, thresholds(sizes, source_targets(sizes, weights, max_repeat))
 
 
-def with_copies(
-    rows: DataFrame, plan: DataFrame, source: str = "source", hash_column=None
-) -> DataFrame:
+def with_copies(rows: DataFrame, plan: DataFrame) -> DataFrame:
     """Add ``source_size``, ``target`` and ``copies`` (0 to ``max_repeat``).
 
-    A null source is a source of its own. Empty documents have no size and are
-    taken like any other hash. Columns of these names are replaced.
+    ``rows`` has source and hash. A null source is a source of its own. Empty
+    documents have no size and are taken like any other hash. Columns of the
+    added names are replaced.
     """
     rows = rows.drop("source_size", "target", "copies")
     p = plan.select(
@@ -174,10 +173,10 @@ def with_copies(
     )
     joined = rows.join(
         bounded_broadcast(p, p.count(), MAX_BROADCAST_SOURCES),
-        F.col(source).eqNullSafe(F.col("_source")),
+        F.col("source").eqNullSafe(F.col("_source")),
         "left",
     )
-    more = (F.col("hash") if hash_column is None else hash_column) < F.col("threshold")
+    more = F.col("hash") < F.col("threshold")
     return joined.select(
         *[F.col(c) for c in rows.columns],
         "source_size",
@@ -187,10 +186,11 @@ def with_copies(
 
 
 def mix(docs: DataFrame, weights: Sequence[int] = (1, 2, 3), max_repeat: int = 3) -> DataFrame:
-    """The mixture itself: each row of ``docs`` as often as it is taken."""
+    """The mixture itself: each row of ``docs``, with all its columns, as often as it is taken.
+
+    Null texts have no words; an empty table gives no rows.
+    """
     _, plan = mix_plan(docs, weights, max_repeat)
-    taken = with_copies(
-        docs.select("*", document_hash("doc_id").alias("_mix_hash")), plan, hash_column=F.col("_mix_hash")
-    )
-    times = F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int")))
-    return taken.withColumn("_time", times).select(*[F.col(c) for c in docs.columns])
+    rows = docs.select(F.struct("*").alias("row"), "source", document_hash("doc_id").alias("hash"))
+    times = F.array_repeat(F.lit(1), F.col("copies").cast("int"))
+    return with_copies(rows, plan).select("row", F.explode(times)).select("row.*")

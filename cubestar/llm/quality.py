@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cubestar.llm.common import utf8, with_columns
 from cubestar.llm.tokenizing import cache_of, vocabulary_path
 
 WINDOW = 8
@@ -94,7 +95,7 @@ def base_counts(text: bytes, words: list[bytes]) -> tuple[int, int, int, int, in
     lines = [line for line in text.split(b"\n") if line.strip()]
     return (
         len(words),
-        len(joined.decode()),
+        len(joined.decode(errors="replace")),
         len(joined) - len(joined.translate(None, SYMBOLS)),
         len(lines) - len(set(lines)),
         repeated_words(words),
@@ -129,7 +130,7 @@ def entropy_floor(n_tokens: int) -> float:
 
 def verdict(lang: str | None, text: bytes, n: int, chars: float, share: float, entropy: float) -> str | None:
     """The band that a text violates, or None."""
-    bands = LANGUAGE_BANDS.get(lang) or SCRIPT_BANDS[script_of(text.decode())]
+    bands = LANGUAGE_BANDS.get(lang) or SCRIPT_BANDS[script_of(text.decode(errors="replace"))]
     if not bands.min_chars <= chars <= bands.max_chars:
         return "chars_per_token"
     if share > bands.max_fallback:
@@ -156,14 +157,14 @@ def assess(
     """
     names = [m.split()[0] for m in MEASURES.split(", ")]
     types = [_TYPES[m.split()[1]] for m in MEASURES.split(", ")]
-    carry = [c for c in (docs.columns if carry is None else carry) if c not in names]
+    carry = [c for c in (docs.columns if carry is None else carry) if c.lower() not in names]
     path = vocabulary or vocabulary_path("piece_bpe_32k.model")
     work = docs.select(
         *carry,
-        F.coalesce(text, F.lit("")).cast("binary").alias("_text"),
+        utf8(text).alias("_text"),
         (F.col(lang) if lang and lang in docs.columns else F.lit(None).cast("string")).alias("_lang"),
     )
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*carry).schema)
+    schema = with_columns(docs.select(*carry).schema, MEASURES)
 
     def run(batches):
         cache = cache_of("piece", path)
@@ -199,7 +200,7 @@ def assess(
                 [batch.column(i) for i in range(len(carry))] + columns, names=[*carry, *names]
             )
 
-    return work.mapInArrow(run, f"{schema}, {MEASURES}" if schema else MEASURES)
+    return work.mapInArrow(run, schema)
 
 
 def byte_pieces(path: str) -> list[int]:

@@ -256,10 +256,12 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
     named = rows.join(_classes(rows, least), "fp")
     others = named.where(~(F.col("doc_id").eqNullSafe(F.col("least.doc_id")) & (F.col("tag") == F.col("least.tag"))))
     dropped = others.select(F.col("doc_id").alias("_id"), F.col("tag").alias("_other")).distinct()
-    tagged = docs.withColumn("_tag", _tag(text))
+    tagged = docs.select(
+        F.struct("*").alias("row"), F.col(doc_id).cast("long").alias("id"), _tag(text).alias("tag")
+    )
     kept = tagged.join(
-        dropped, F.col(doc_id).cast("long").eqNullSafe(F.col("_id")) & (F.col("_tag") == F.col("_other")), "left_anti"
+        dropped, F.col("id").eqNullSafe(F.col("_id")) & (F.col("tag") == F.col("_other")), "left_anti"
     )
     if not rows.groupBy("doc_id", "tag").agg(F.count("*").alias("n")).where("n > 1").isEmpty():
-        kept = kept.dropDuplicates([doc_id, "_tag"])
-    return kept.drop("_tag")
+        kept = kept.dropDuplicates(["id", "tag"])
+    return kept.select("row.*")

@@ -150,10 +150,11 @@ def judge_urls(
     equal urls are judged once. Columns of the same names are replaced.
     """
     spark = pages.sparkSession
-    pages = pages.drop("host", "path", "rule", "verdict", "phrase", "_fits")
+    kept = pages.drop("host", "path", "rule", "verdict", "phrase")
+    rows = kept.select(F.struct("*").alias("row"), F.col(url).alias("url"))
     rules = [site_rule(*r) for r in site_rules] + list(phrase_rules)
     urls = host_and_path(
-        pages.select(F.col(url).alias("_url")).where("_url IS NOT NULL").distinct(), "_url"
+        rows.select(F.col("url").alias("_url")).where("_url IS NOT NULL").distinct(), "_url"
     )
     token = F.explode(
         F.array_union(F.array(F.lit("")), F.array_distinct(F.split(ascii_lower(F.col("_url")), "[^a-z0-9]+")))
@@ -184,9 +185,9 @@ def judge_urls(
             ).alias("_phrase"),
         )
     )
-    judged = pages.join(fits, pages[url] == fits["_url"], "left")
-    return host_and_path(judged, url).select(
-        *[F.col(c) for c in pages.columns],
+    judged = rows.join(fits, F.col("url") == F.col("_url"), "left")
+    return host_and_path(judged).select(
+        "row.*",
         "host",
         "path",
         F.col("_site.name").alias("rule"),
