@@ -18,14 +18,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cubestar.llm.common import with_columns
+from cubestar.llm.common import carrying
 from cubestar.llm.tokenizing import vocabulary_path
 
 SCHEMA = (
     "n_chars long, n_tokens long, n_sections long, n_crossing long, n_unattributed long,"
     " section_tokens array<long>"
 )
-_NAMES = [c.split()[0] for c in SCHEMA.split(", ")]
 _encoders: dict[str, tuple] = {}
 
 
@@ -108,22 +107,20 @@ def count_tokens(
     ``n_tokens``. A null or empty text has no tokens. Repeated rows are counted
     each; carried columns with the name of a result are replaced.
     """
-    carry = [c for c in (docs.columns if carry is None else carry) if c.lower() not in _NAMES]
     path = vocabulary or vocabulary_path("byte_bpe_50k.tiktoken")
-    spans = (
-        F.col(sections).cast("array<struct<start:long,end:long>>")
-        if sections
-        else F.lit(None).cast("array<struct<start:long,end:long>>")
+    kind = "array<struct<start:long,end:long>>"
+    spans = F.col(sections).cast(kind) if sections else F.lit(None).cast(kind)
+    work, schema, columns = carrying(
+        docs, carry, SCHEMA, [F.coalesce(text, F.lit("")).alias("text"), spans.alias("sections")]
     )
-    work = docs.select(*carry, F.coalesce(text, F.lit("")).alias("_text"), spans.alias("_sections"))
-    schema = with_columns(docs.select(*carry).schema, SCHEMA)
+    names = ["carried", *[c.split()[0] for c in SCHEMA.split(", ")]]
     types = [pa.int64()] * 5 + [pa.list_(pa.int64())]
 
     def run(batches):
         encode, lengths = encoder(path)
         for batch in batches:
             rows = []
-            for value, given in zip(batch.column(len(carry)), batch.column(len(carry) + 1)):
+            for value, given in zip(batch.column(1), batch.column(2)):
                 t, given = value.as_py(), given.as_py()
                 if given is None:
                     held = line_spans(t)
@@ -133,9 +130,7 @@ def count_tokens(
                 starts, ends = token_spans(t, encode, lengths)
                 counts, crossing, outside = attribute(starts, ends, *held)
                 rows.append((len(t), len(starts), len(counts), crossing, outside, counts))
-            columns = [pa.array(c, kind) for c, kind in zip(zip(*rows), types)] if rows else [pa.array([], k) for k in types]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(i) for i in range(len(carry))] + columns, names=[*carry, *_NAMES]
-            )
+            added = [pa.array(c, t) for c, t in zip(zip(*rows), types)] if rows else [pa.array([], t) for t in types]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *added], names=names)
 
-    return work.mapInArrow(run, schema)
+    return work.mapInArrow(run, schema).select(*columns)

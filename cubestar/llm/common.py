@@ -43,9 +43,21 @@ def map_batches(
     return df.mapInArrow(run, schema)
 
 
-def with_columns(schema: T.StructType, more: str) -> T.StructType:
-    """The schema followed by the columns of a schema text."""
-    return T.StructType([*schema.fields, *T.StructType.fromDDL(more).fields])
+def carrying(
+    docs: DataFrame, carry: list[str] | None, more: str, inputs: list[F.Column]
+) -> tuple[DataFrame, str, list[str]]:
+    """Rows for a batch function that adds columns beside carried ones.
+
+    Returns the frame (the carried columns as one struct, then the inputs), the
+    schema to give to ``mapInArrow`` (the struct, then ``more``), and what to select
+    afterwards. A carried column that has the name of an added one is left out.
+    """
+    added = [c.split()[0] for c in more.split(", ")]
+    kept = [c for c in (docs.columns if carry is None else carry) if c.lower() not in added]
+    struct = F.struct(*[F.col(f"`{c}`") for c in kept]) if kept else F.struct(F.lit(0).alias("none"))
+    frame = docs.select(struct.alias("carried"), *inputs)
+    schema = T.StructType([frame.schema["carried"], *T.StructType.fromDDL(more).fields])
+    return frame, schema, [*(["carried.*"] if kept else []), *added]
 
 
 def bounded_broadcast(df: DataFrame, rows: int, bound: int) -> DataFrame:

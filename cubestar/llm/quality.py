@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cubestar.llm.common import utf8, with_columns
+from cubestar.llm.common import carrying, utf8
 from cubestar.llm.tokenizing import cache_of, vocabulary_path
 
 WINDOW = 8
@@ -155,16 +155,11 @@ def assess(
     unknown language takes the bands of the script. Repeated rows are judged one
     by one, and carried columns with the name of a measure are replaced.
     """
-    names = [m.split()[0] for m in MEASURES.split(", ")]
+    names = ["carried", *[m.split()[0] for m in MEASURES.split(", ")]]
     types = [_TYPES[m.split()[1]] for m in MEASURES.split(", ")]
-    carry = [c for c in (docs.columns if carry is None else carry) if c.lower() not in names]
     path = vocabulary or vocabulary_path("piece_bpe_32k.model")
-    work = docs.select(
-        *carry,
-        utf8(text).alias("_text"),
-        (F.col(lang) if lang and lang in docs.columns else F.lit(None).cast("string")).alias("_lang"),
-    )
-    schema = with_columns(docs.select(*carry).schema, MEASURES)
+    known = F.col(lang) if lang and lang in docs.columns else F.lit(None).cast("string")
+    work, schema, columns = carrying(docs, carry, MEASURES, [utf8(text).alias("text"), known.alias("lang")])
 
     def run(batches):
         cache = cache_of("piece", path)
@@ -187,20 +182,18 @@ def assess(
 
         for batch in batches:
             texts, langs, rows, at, size = [], [], [], 0, 0
-            all_langs = batch.column(batch.num_columns - 1).to_pylist()
-            for i, value in enumerate(batch.column(batch.num_columns - 2)):
+            all_langs = batch.column(2).to_pylist()
+            for i, value in enumerate(batch.column(1)):
                 texts.append(value.as_py())
                 size += len(texts[-1])
                 if size >= BATCH_BYTES:
                     rows += measured(texts, all_langs[at : i + 1])
                     texts, at, size = [], i + 1, 0
             rows += measured(texts, all_langs[at:])
-            columns = [pa.array(c, t) for c, t in zip(zip(*rows), types)] if rows else [pa.array([], t) for t in types]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(i) for i in range(len(carry))] + columns, names=[*carry, *names]
-            )
+            added = [pa.array(c, t) for c, t in zip(zip(*rows), types)] if rows else [pa.array([], t) for t in types]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *added], names=names)
 
-    return work.mapInArrow(run, schema)
+    return work.mapInArrow(run, schema).select(*columns)
 
 
 def byte_pieces(path: str) -> list[int]:
