@@ -3,8 +3,9 @@
 Each mask hashes some positions of a run of words and ignores the others. Test
 and training texts meet in a join on equal hashes; around every hit the two texts
 are aligned and compared word by word, and a window with few substitutions makes
-an overlap. The masks are fixed so that any window of ``WINDOW`` words with up to
-a fifth of them replaced keeps at least one whole seed.
+an overlap. The masks are fixed so that any window of ``WINDOW`` words, or any
+shorter item, with up to a fifth of its words replaced keeps a whole seed; items
+below ``SHORT_ITEM`` words need the last mask for that, longer ones do not use it.
 
 Training hashes go through a bitmap of the test hashes first. The bitmap has a
 fixed size; a large benchmark fills it, so that more hashes reach the join, and
@@ -23,8 +24,9 @@ from cubestar.llm.common import utf8
 from cubestar.sources.workdir import stage
 
 #: Positions that each mask reads.
-MASKS = ((0, 1, 2, 3, 5, 6), (0, 1, 2, 4, 8, 9), (0, 1, 2, 4, 5, 6))
+MASKS = ((0, 1, 2, 3, 5, 6), (0, 1, 2, 4, 8, 9), (0, 1, 2, 4, 5, 6), (0, 1, 2, 3))
 WINDOW = 20
+SHORT_ITEM = 17
 MAX_REPLACED = 0.2
 MIN_ITEM_WORDS = 8
 BITMAP_BITS = 24
@@ -47,15 +49,20 @@ def word_codes(text: bytes, codes: _Codes) -> np.ndarray:
     return np.fromiter(map(codes.__getitem__, words), np.uint64, len(words))
 
 
-def seed_hashes(codes: np.ndarray):
-    """(mask number, hashes by start) for every mask that fits."""
-    for m, mask in enumerate(MASKS):
+def masks_of(n_words: int) -> tuple[tuple[int, ...], ...]:
+    """The masks that an item of so many words is indexed by."""
+    return MASKS if n_words < SHORT_ITEM else MASKS[:-1]
+
+
+def seed_hashes(codes: np.ndarray, masks=MASKS):
+    """The hashes by start for every mask that fits."""
+    for m, mask in enumerate(masks):
         n = len(codes) - mask[-1]
         if n > 0:
             mixed = np.full(n, _ODD[-1 - m], np.uint64)
             for k, p in enumerate(mask):
                 mixed = mixed + codes[p : p + n] * _ODD[k]
-            yield m, mixed ^ (mixed >> np.uint64(29))
+            yield mixed ^ (mixed >> np.uint64(29))
 
 
 def window_of(n_words: int) -> tuple[int, int]:
@@ -64,18 +71,23 @@ def window_of(n_words: int) -> tuple[int, int]:
     return window, window - int(MAX_REPLACED * window)
 
 
-def best_overlap(item: np.ndarray, segment: np.ndarray, shift: int) -> int:
+def best_overlap(item: np.ndarray, segment: np.ndarray, shifts: list[int]) -> int:
     """The most equal words in a window, item word i beside segment word i + shift.
 
     Item words beyond the segment's ends count as replaced.
     """
     window, _ = window_of(len(item))
-    low, high = max(0, -shift), min(len(item), len(segment) - shift)
-    equal = np.zeros(len(item) + 1, np.int64)
-    if low < high:
-        equal[low + 1 : high + 1] = item[low:high] == segment[low + shift : high + shift]
-    equal = np.cumsum(equal)
-    return int((equal[window:] - equal[:-window]).max())
+    best = 0
+    for shift in shifts:
+        low, high = max(0, -shift), min(len(item), len(segment) - shift)
+        equal = np.zeros(len(item) + 1, np.int64)
+        if low < high:
+            equal[low + 1 : high + 1] = item[low:high] == segment[low + shift : high + shift]
+        equal = np.cumsum(equal)
+        best = max(best, int((equal[window:] - equal[:-window]).max()))
+        if best == window:
+            break
+    return best
 
 
 def _benchmark_tables(benchmark: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -89,7 +101,8 @@ def _benchmark_tables(benchmark: DataFrame) -> tuple[DataFrame, DataFrame]:
                 words = word_codes(value.as_py(), codes)
                 if len(words) >= MIN_ITEM_WORDS:
                     hits = [
-                        (int(h), at) for _, hashes in seed_hashes(words)
+                        (h, at)
+                        for hashes in seed_hashes(words, masks_of(len(words)))
                         for at, h in enumerate(hashes.view(np.int64).tolist())
                     ]
                     rows.append((xxhash.xxh3_64_intdigest(words.tobytes()) >> 1, words.tobytes(), hits))
@@ -155,7 +168,7 @@ def segments(docs: DataFrame, bitmap: np.ndarray, doc_id: str, text: str) -> Dat
                 raw = value.as_py()
                 words = word_codes(raw, codes)
                 hits = []
-                for _, hashes in seed_hashes(words):
+                for hashes in seed_hashes(words):
                     at = np.flatnonzero(bits[hashes >> np.uint64(64 - BITMAP_BITS)])
                     hits += zip(at.tolist(), hashes[at].view(np.int64).tolist())
                 hits.sort()
@@ -209,8 +222,8 @@ def overlaps(
     )
     aligned = (
         hits.join(seeds, "hash")
-        .select("digest", "start", "item", (F.col("held_at") - F.col("at")).alias("shift"))
-        .distinct()
+        .groupBy("digest", "start", "item")
+        .agg(F.collect_set(F.col("held_at") - F.col("at")).alias("shifts"))
         .join(found.select("digest", "start", F.col("codes").alias("segment")).dropDuplicates(["digest", "start"]), ["digest", "start"])
         .join(items, "item")
     )
@@ -219,10 +232,10 @@ def overlaps(
         for batch in batches:
             if not batch.num_rows:
                 continue
-            digest, item, shift, segment, codes = (batch.column(i) for i in range(5))
+            digest, item, shifts, segment, codes = (batch.column(i) for i in range(5))
             best = [
-                (best_overlap(np.frombuffer(c.as_py(), np.uint64), np.frombuffer(s.as_py(), np.uint64), d.as_py()), len(c.as_py()) // 8)
-                for d, s, c in zip(shift, segment, codes)
+                (best_overlap(np.frombuffer(c.as_py(), np.uint64), np.frombuffer(s.as_py(), np.uint64), sorted(d.as_py())), len(c.as_py()) // 8)
+                for d, s, c in zip(shifts, segment, codes)
             ]
             keep = pa.array([b >= window_of(n)[1] for b, n in best], pa.bool_())
             out = pa.RecordBatch.from_arrays(
@@ -237,7 +250,7 @@ def overlaps(
             yield out.filter(keep)
 
     verified = (
-        aligned.select("digest", "item", "shift", "segment", "codes")
+        aligned.select("digest", "item", "shifts", "segment", "codes")
         .mapInArrow(run, "digest binary, item long, n_equal long, n_window long")
         .groupBy("digest", "item")
         .agg(F.max("n_equal").alias("n_equal"), F.max("n_window").alias("n_window"))
