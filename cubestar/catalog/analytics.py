@@ -43,6 +43,7 @@ from cubestar.operators.quality import (
 from cubestar.plans.load import load_batch
 from cubestar.plans.presets import (
     STANDARD_COLUMNS,
+    SUMMARY_COLUMNS,
     crop_production,
     flat_output,
     municipal_gdp,
@@ -109,10 +110,18 @@ def t7(spark, sf):
 
 @query(
     "t8_analytic_lookup",
-    f"{star_rows()}\n{_FLAT} WHERE tabela_sidra_id = 'T3' AND d1c = '7' ORDER BY codigo DESC",
+    f"""{star_rows()}
+SELECT tabela_sidra_id AS tabela, codigo AS periodo, ano, mes, nc AS nivel,
+       d1c AS localidade_id, d1n AS localidade, d2n AS variavel, mn AS unidade,
+       d4n AS categoria, CAST(num AS VARCHAR) AS valor
+FROM flat WHERE d1c = '7'
+  AND nc = (SELECT max(nc) FROM flat WHERE tabela_sidra_id = 'T3') ORDER BY codigo DESC""",
 )
 def t8(spark, sf):
-    return point_lookup(flat_output(inputs.star(spark, sf), ["T3"]), "7")
+    """The customer 7 and not the nation 7."""
+    flat = flatten(inputs.star(spark, sf), None, SUMMARY_COLUMNS)
+    level = flat.filter("tabela = 'T3'").agg(F.max("nivel")).first()[0]
+    return point_lookup(flat, "7", level=level)
 
 
 @query(
@@ -136,26 +145,28 @@ def t9(spark, sf):
 
 
 _SUMMARY = """
-SELECT ano, d1c AS localidade_id, d2n AS variavel, d4n AS categoria, count(num) AS n,
+SELECT tabela_sidra_id AS tabela, ano, nc AS nivel, d1c AS localidade_id, d2n AS variavel,
+       mn AS unidade, d4n AS categoria, count(num) AS n,
        CAST(CAST(sum(num) AS DECIMAL(38,10)) AS VARCHAR) AS soma,
        CASE WHEN count(num) > 0
             THEN CAST(sum(num) AS DOUBLE) / count(num) END AS media,
        CAST(min(num) AS VARCHAR) AS minimo, CAST(max(num) AS VARCHAR) AS maximo
-FROM flat WHERE tabela_sidra_id IN ('T1', 'T3')
-GROUP BY ano, d1c, d2n, d4n"""
+FROM flat GROUP BY tabela_sidra_id, ano, nc, d1c, d2n, mn, d4n"""
 
 
 @query("a6_annual_summary", star_rows() + _SUMMARY)
 def a6(spark, sf):
-    return annual_summary(flat_output(inputs.star(spark, sf), ["T1", "T3"]))
+    """All cubes: nations and customers have equal place codes on other levels."""
+    return annual_summary(flatten(inputs.star(spark, sf), None, SUMMARY_COLUMNS))
 
 
 @query(
     "u1_ordered_output",
-    f"{star_rows()}\n{_FLAT} WHERE tabela_sidra_id = 'T2' ORDER BY codigo, d1c",
+    f"{star_rows()}\n{_FLAT} ORDER BY codigo, d1c",
 )
 def u1(spark, sf):
-    return ordered(flat_output(inputs.star(spark, sf), ["T2"]), "periodo", "localidade_id")
+    flat = flatten(inputs.star(spark, sf), None, STANDARD_COLUMNS)
+    return ordered(flat, "periodo", "localidade_id")
 
 
 @query(

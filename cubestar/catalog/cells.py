@@ -275,6 +275,41 @@ def t10_twice(spark, sf):
     return load_batch(once.star, batch).star.dados
 
 
+@query(
+    "t10_undated_rows",
+    batch_inputs("new_batch")
+    + """
+SELECT tabela_sidra_id,
+       count(*) FILTER (reject_reason IS NULL AND v NOT LIKE '%7') AS staged,
+       count(*) FILTER (reject_reason IS NULL AND v LIKE '%7') AS missing_modifications,
+       count(*) FILTER (reject_reason IS NOT NULL) AS other_rejects,
+       count(*) AS valued, 0 AS without_state, 0 AS inserted_again
+FROM new_batch_resolved GROUP BY tabela_sidra_id""",
+)
+def t10_undated(spark, sf):
+    """Rows without a modification are counted, the others stored, and a repeat changes nothing."""
+    batch = inputs.source(spark, sf, "new_batch").withColumn(
+        "modificacao", F.expr("CASE WHEN NOT coalesce(V LIKE '%7', false) THEN modificacao END")
+    )
+    once = load_batch(inputs.star(spark, sf), batch)
+    again = load_batch(once.star, batch).report
+    cube = "tabela_sidra_id"
+    reason = F.col("reject_reason")
+    other = once.rejects.groupBy(cube).agg(F.count_if(reason != "modificacao").alias("other_rejects"))
+    state = once.merged.groupBy(cube).agg(
+        F.count_if(F.col("ativo").isNull() | F.col("modificacao").isNull()).alias("without_state")
+    )
+    joined = once.report.join(other, cube, "left").join(state, cube, "left")
+    other = F.coalesce("other_rejects", F.lit(0)).alias("other_rejects")
+    return joined.join(
+        again.select(cube, F.col("inserted").alias("inserted_again")), cube
+    ).select(
+        cube, "staged", "missing_modifications", other,
+        (F.col("staged") + F.col("missing_modifications") + F.coalesce("other_rejects", F.lit(0))).alias("valued"),
+        F.coalesce("without_state", F.lit(0)).alias("without_state"), "inserted_again",
+    )
+
+
 @query("t10_published", _BOTH + "," + after("latest") + _AFTER_ROWS)
 def t10_published(spark, sf):
     path = new_path(spark, "published")
@@ -322,7 +357,7 @@ def t10_documents(spark, sf):
 def _report(revisions: str) -> str:
     return f"""{_BOTH},{after(revisions)}
 SELECT r.tabela_sidra_id, r.staged, a.inserted, a.deactivated, 0 AS missing_places,
-       r.missing_dimensions, r.missing_periods
+       r.missing_dimensions, r.missing_periods, 0 AS missing_modifications
 FROM (
   SELECT tabela_sidra_id, count(*) FILTER (reject_reason IS NULL) AS staged,
          count(*) FILTER (reject_reason = 'dimensao') AS missing_dimensions,
@@ -357,7 +392,8 @@ SELECT tabela_sidra_id, count(*) FILTER (reject_reason IS NULL) AS staged,
        count(*) FILTER (reject_reason IS NULL) AS inserted, 0 AS deactivated,
        0 AS missing_places,
        count(*) FILTER (reject_reason = 'dimensao') AS missing_dimensions,
-       count(*) FILTER (reject_reason = 'periodo') AS missing_periods
+       count(*) FILTER (reject_reason = 'periodo') AS missing_periods,
+       0 AS missing_modifications
 FROM old_batch_resolved GROUP BY tabela_sidra_id""",
 )
 def a3_first(spark, sf):

@@ -89,11 +89,14 @@ def dimension_members(
     carry_units: bool = False,
     max_rows: int | None = None,
     block_size: int = BLOCK_SIZE,
+    drop_classifications: bool = False,
 ) -> DataFrame:
     """Every variable with every combination of categories.
 
-    Classification *i* fills slot ``d(4+i)``; further ones still multiply the
-    rows but have no slot. The unit is that of the first category, in slot
+    Classification *i* fills slot ``d(4+i)``. A cube with more classifications
+    than slots is refused, as its members could not be told apart; with
+    ``drop_classifications`` the further ones multiply the rows without a slot.
+    The unit is that of the first category, in slot
     order, that has one, else the variable's. With ``carry_units`` a
     combination without a unit takes the one of the combination before it.
     ``max_rows`` refuses a product larger than that before producing it.
@@ -102,9 +105,17 @@ def dimension_members(
         total = member_counts(metadata).agg(F.sum("n_members")).first()[0] or 0
         if total > max_rows:
             raise ValueError(f"{total} members exceed max_rows={max_rows}")
+    classes = _classes(metadata)
+    if not drop_classifications:
+        message = F.concat(
+            F.lit("cube "), F.col("id"), F.lit(f" has more than {MAX_SLOTS} classifications")
+        )
+        classes = F.when(F.size(classes) <= MAX_SLOTS, classes).otherwise(
+            F.raise_error(message).cast(metadata.schema["classificacoes"].dataType)
+        ).alias("classificacoes")
     variables = metadata.select(
         F.col("id").alias("tabela_sidra_id"),
-        _classes(metadata),
+        classes,
         F.posexplode("variaveis").alias("var_pos", "var"),
     )
     rows = _combinations(

@@ -14,6 +14,9 @@ from cubestar.sources.workdir import broadcast_if_small, stage
 #   keep_first  it is not stored; the old one becomes inactive all the same
 REVISIONS = ("latest", "keep_first")
 
+#: Cubes of a batch up to this number are listed in the filter on stored facts.
+MAX_LISTED_CUBES = 10_000
+
 
 def _check(revisions: str) -> None:
     if revisions not in REVISIONS:
@@ -79,14 +82,21 @@ def deactivate_superseded(facts: DataFrame, latest: DataFrame) -> DataFrame:
 def touched_partitions(cells: DataFrame) -> DataFrame:
     """A1 of a batch, written once: one row per (cube, period) it touches.
 
-    It is counted before it is broadcast. The comparison is always true; with
-    a predicate on this side Spark prunes the stored partitions at run time.
+    It is counted before it is broadcast.
     """
-    return broadcast_if_small(
-        stage(latest_modification(cells), "touched").filter(
-            "max_modificacao >= DATE'0001-01-01'"
-        )
-    )
+    return broadcast_if_small(stage(latest_modification(cells), "touched"))
+
+
+def of_cubes(stored: DataFrame, touched: DataFrame, max_cubes: int = MAX_LISTED_CUBES) -> DataFrame:
+    """Stored facts of the cubes of a batch, as a filter on the partition column.
+
+    The cubes of a batch are few however many pairs it touches, so other cubes
+    are pruned while planning, with or without broadcasts. A batch of more than
+    ``max_cubes`` cubes reads all.
+    """
+    cube = FACT_PARTITIONS[0]
+    cubes = [r[0] for r in touched.select(cube).distinct().limit(max_cubes + 1).collect()]
+    return stored if len(cubes) > max_cubes else stored.filter(F.col(cube).isin(cubes))
 
 
 def merge_touched(
@@ -104,7 +114,7 @@ def merge_touched(
     _check(revisions)
     if latest is None:
         latest = touched_partitions(cells)
-    touched = stored.join(latest, list(FACT_PARTITIONS)).select(
+    touched = of_cubes(stored, latest).join(latest, list(FACT_PARTITIONS)).select(
         *FACT_COLUMNS, F.lit(False).alias("inserted")
     )
     added = new_cells(touched, cells, revisions)
@@ -145,6 +155,7 @@ def load_report(resolved: DataFrame, merged: DataFrame) -> DataFrame:
         F.count_if(reason == "localidade").alias("missing_places"),
         F.count_if(reason == "dimensao").alias("missing_dimensions"),
         F.count_if(reason == "periodo").alias("missing_periods"),
+        F.count_if(reason == "modificacao").alias("missing_modifications"),
     )
     written = merged.groupBy("tabela_sidra_id").agg(
         F.count_if("inserted").alias("inserted"),
@@ -158,6 +169,7 @@ def load_report(resolved: DataFrame, merged: DataFrame) -> DataFrame:
         "missing_places",
         "missing_dimensions",
         "missing_periods",
+        "missing_modifications",
     )
 
 

@@ -164,7 +164,6 @@ def _with_period_id(df, periodo, tabela_sidra, frequencies):
 _FIRST_FAILURE = (
     "CASE "
     + " ".join(f"WHEN {name}_id IS NULL THEN '{name}'" for name in REJECT_REASONS)
-    + " END"
 )
 
 
@@ -217,6 +216,9 @@ def resolve_by_content(
 
 
 def _resolved(cells: DataFrame, names: list[str] | None = None) -> DataFrame:
+    # A cell without a modification date cannot be ranked; it is counted, not lost.
+    dated = "modificacao" in cells.columns
+    undated = " WHEN modificacao IS NULL THEN 'modificacao'" if dated else ""
     return cells.selectExpr(
         "tabela_sidra_id",
         "localidade_id",
@@ -226,6 +228,6 @@ def _resolved(cells: DataFrame, names: list[str] | None = None) -> DataFrame:
         *order_columns(cells),
         "true AS ativo",
         "v",
-        f"{_FIRST_FAILURE} AS reject_reason",
+        f"{_FIRST_FAILURE}{undated} END AS reject_reason",
         *(names or []),
     )

@@ -11,6 +11,9 @@ from cubestar.functions.codes import numeric_value, value_flag
 from cubestar.schema import Star
 
 
+SUMMARY_KEYS = ("tabela", "ano", "nivel", "localidade_id", "variavel", "unidade", "categoria")
+
+
 def join_star(star: Star, tables: list[str] | None = None) -> DataFrame:
     """Active facts of the given cubes with their dimensions.
 
@@ -60,9 +63,13 @@ def union_outputs(outputs: dict[str, DataFrame]) -> DataFrame:
 
 
 def annual_summary(
-    flat: DataFrame, keys: tuple[str, ...] = ("ano", "localidade_id", "variavel", "categoria")
+    flat: DataFrame, keys: tuple[str, ...] = SUMMARY_KEYS
 ) -> DataFrame:
-    """Count, sum, mean and extremes of the values per year and member."""
+    """Count, sum, mean and extremes of the values per year and member.
+
+    A place code is unique within its level only, a cube publishes its own
+    values, and values of different units do not add up: all three are keys.
+    """
     return flat.groupBy(*keys).agg(
         F.count("valor").alias("n"),
         F.sum("valor").cast("decimal(38,10)").alias("soma"),
@@ -79,6 +86,15 @@ def flag_profile(facts: DataFrame, value: str = "v") -> DataFrame:
     )
 
 
-def point_lookup(flat: DataFrame, place: str, order: str = "periodo") -> DataFrame:
-    """Rows of one place of a flat table, newest first."""
-    return flat.filter(F.col("localidade_id") == place).orderBy(F.col(order).desc())
+def point_lookup(
+    flat: DataFrame, place: str, order: str = "periodo", level: str | None = None
+) -> DataFrame:
+    """Rows of one place of a flat table, newest first.
+
+    With ``level`` the flat table's ``nivel`` must agree as well; a table that
+    holds places of several levels needs it.
+    """
+    rows = flat.filter(F.col("localidade_id") == place)
+    if level is not None:
+        rows = rows.filter(F.col("nivel") == level)
+    return rows.orderBy(F.col(order).desc())

@@ -28,7 +28,10 @@ from cubestar.operators.facts import (
 )
 from cubestar.operators.lookups import resolve_by_content
 from cubestar.schema import FACT_COLUMNS, RAW_COLUMNS, Star
-from cubestar.sources.documents import observations_from_documents
+from cubestar.sources.documents import (
+    observations_by_descriptor,
+    observations_from_documents,
+)
 from cubestar.sources.star_tables import read_star, write_facts
 from cubestar.sources.workdir import stage
 
@@ -65,7 +68,8 @@ def load_batch(
     """Members, cells and supersession of a batch, all cubes in one job.
 
     ``observations`` has tabela_sidra_id, modificacao and raw columns, from
-    landed documents or any other source. The raw rows are read once: their
+    landed documents or any other source. A row without a modification is
+    rejected and counted. The raw rows are read once: their
     resolved form is staged, and later steps read the staged columns they need. Loading the
     same batch again changes nothing. Cubes without a value row take no part.
     ``keep_flags`` stores the sentinel texts instead of dropping their cells.
@@ -124,7 +128,7 @@ def save_metadata(
     new_places = new_members(before.localidade, places_from_metadata(metadata))
     new_places.write.mode("append").parquet(f"{path}/localidade")
     for name, df in staged.items():
-        df.coalesce(1).write.mode("overwrite").parquet(f"{path}/{name}")
+        df.write.mode("overwrite").parquet(f"{path}/{name}")
     return read_star(spark, path)
 
 
@@ -163,3 +167,12 @@ def load_documents(
     keep_flags = options.get("keep_flags", False)
     rows = observations_from_documents(docs, keep_flags=keep_flags)
     return load_into(spark, path, rows, **options)
+
+
+def load_planned(
+    spark: SparkSession, path: str, docs: DataFrame, descriptors: DataFrame, **options
+) -> DataFrame:
+    """T10 from landed documents and the descriptors of the plan that asked for them."""
+    keep_flags = options.get("keep_flags", False)
+    rows = observations_by_descriptor(docs, descriptors, keep_flags=keep_flags)
+    return load_into(spark, path, rows, **options)

@@ -90,7 +90,9 @@ def create_view(spark: SparkSession, output: Mapping) -> None:
 def replace_table(spark: SparkSession, output: Mapping) -> None:
     """S7 with Q1 to Q3: build beside the target, check, then take its place.
 
-    Readers keep the old table until the new one has passed its checks.
+    Readers keep the old table until the new one has passed its checks. The old
+    one is moved aside, not dropped, until the new one has its name, and comes
+    back if that fails.
     """
     schema, name = output["schema"], output["name"]
     target = _quoted(schema, name)
@@ -110,15 +112,32 @@ def replace_table(spark: SparkSession, output: Mapping) -> None:
     try:
         df.write.format("parquet").saveAsTable(building)
         _check_keys(spark.table(building), output)
-        spark.sql(f"DROP TABLE IF EXISTS {target}")
-        spark.sql(f"ALTER TABLE {building} RENAME TO {target}")
+        if output.get("description"):
+            spark.sql(
+                f"COMMENT ON TABLE {building} IS"
+                + _comment(output).replace(" COMMENT", "", 1)
+            )
+        _publish(spark, schema, building, name)
     except Exception:
         spark.sql(f"DROP TABLE IF EXISTS {building}")
         raise
-    if output.get("description"):
-        spark.sql(
-            f"COMMENT ON TABLE {target} IS" + _comment(output).replace(" COMMENT", "", 1)
-        )
+
+
+def _publish(spark: SparkSession, schema: str, building: str, name: str) -> None:
+    """Give a finished build its name; an earlier table stays readable on failure."""
+    target = _quoted(schema, name)
+    if not spark.catalog.tableExists(target):
+        spark.sql(f"ALTER TABLE {building} RENAME TO {target}")
+        return
+    kind = "VIEW" if spark.catalog.getTable(target).tableType == "VIEW" else "TABLE"
+    aside = _quoted(schema, f"{name}__old_{uuid.uuid4().hex[:8]}")
+    spark.sql(f"ALTER {kind} {target} RENAME TO {aside}")
+    try:
+        spark.sql(f"ALTER TABLE {building} RENAME TO {target}")
+    except Exception:
+        spark.sql(f"ALTER {kind} {aside} RENAME TO {target}")
+        raise
+    spark.sql(f"DROP {kind} IF EXISTS {aside}")
 
 
 def _check_keys(df, output: Mapping) -> None:

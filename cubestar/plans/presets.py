@@ -18,6 +18,13 @@ STANDARD_COLUMNS = {
     "variavel": "dim.d2n",
     "categoria": "dim.d4n",
 }
+# The standard output with what makes a value comparable: cube, level and unit.
+SUMMARY_COLUMNS = {
+    "tabela": "d.tabela_sidra_id",
+    **STANDARD_COLUMNS,
+    "nivel": "l.nc",
+    "unidade": "dim.mn",
+}
 MUNICIPAL_GDP_COLUMNS = {
     "ano": "p.ano",
     "id_municipio": "l.d1c",

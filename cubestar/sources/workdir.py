@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -14,14 +15,14 @@ _local_dirs: dict[str, str] = {}
 def shared_dir(spark: SparkSession) -> str:
     """The folder named in ``spark.checkpoint.dir``.
 
-    Only a local session without that setting gets a temporary folder; on a
-    cluster such a folder would not be visible to every executor.
+    Only a session whose tasks run in the driver's process (``local[n]``) gets a
+    temporary folder without that setting; other executors would not see it.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     app = spark.sparkContext.applicationId
     if configured:
         return f"{configured.rstrip('/')}/cubestar/{app}"
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
         raise ValueError("set spark.checkpoint.dir to a shared folder")
     if app not in _local_dirs:
         _local_dirs[app] = tempfile.mkdtemp(prefix="cubestar-")

@@ -45,7 +45,10 @@ def test_product_and_six_slots(spark):
 
 def test_empty_classification_and_seventh(spark):
     assert dimension_members(metadata(spark, cube(classes=[(1, [1]), (2, [])]))).count() == 0
-    seven = dimension_members(metadata(spark, cube(classes=[(i, [i]) for i in range(6)] + [(6, [1, 2])])))
+    described = metadata(spark, cube("77", classes=[(i, [i]) for i in range(6)] + [(6, [1, 2])]))
+    with pytest.raises(Exception, match="cube 77 has more than 6"):
+        dimension_members(described).collect()
+    seven = dimension_members(described, drop_classifications=True)
     assert seven.count() == 2 and seven.distinct().count() == 1
 
 

@@ -257,3 +257,43 @@ def test_landed_documents_are_streamed_once(spark, tmp_path):
     run()
     state = facts(read_star(spark, path))
     assert [(p, a) for p, _, _, a, _ in state] == [("a", False), ("b", False), ("b", True)]
+
+
+def test_rows_without_a_modification_are_counted(spark, described):
+    batch = observations(spark, {}, {"D1C": "2", "modificacao": None}, {"D1C": "3"})
+    load = load_batch(described, batch)
+    report = load.report.first()
+    assert (report.staged, report.inserted, report.missing_modifications) == (2, 2, 1)
+    assert load.star.dados.filter("ativo IS NULL OR modificacao IS NULL").count() == 0
+    again = load_batch(load.star, batch).report.first()
+    assert (again.inserted, again.deactivated) == (0, 0)
+
+
+def test_documents_by_descriptor(spark, described, tmp_path):
+    """The plan names cube and modification; the file names carry neither."""
+    import json
+
+    from cubestar.plans.load import load_planned
+    from cubestar.sources.documents import observations_by_descriptor, observations_from_documents
+
+    row = {"NC": "1", "D1C": "1", "D2C": "1", "D3C": "202001", "V": "5"}
+    docs = spark.createDataFrame(
+        [(f"folder/{n}.json", json.dumps([{}, {**row, "V": v}])) for n, v in (("a", "1"), ("b", "2"), ("c", "3"))],
+        "file_path string, value string",
+    )
+    plan = spark.sql(
+        "SELECT * FROM VALUES ('a.json', '1', DATE'2024-01-01'), ('b.json', '1', DATE'2024-01-02'),"
+        " ('d.json', '1', DATE'2024-01-03') AS t(file_name, tabela_sidra_id, modificacao)"
+    )
+    rows = observations_by_descriptor(docs, plan)
+    assert sorted(values(rows, "tabela_sidra_id", "V")) == [("1", "1"), ("1", "2")]
+    named = spark.createDataFrame(
+        [(f"t-1_p-1@{m}.json", json.dumps([{}, row])) for m in ("2024-01-01", "2024-01-01T08", "bad")],
+        "file_path string, value string",
+    )
+    dates = [str(r.modificacao) for r in observations_from_documents(named).collect()]
+    assert sorted(dates) == ["2024-01-01", "None", "None"]
+    path = str(tmp_path / "star")
+    create_star(spark, path)
+    save_metadata(spark, path, metadata(spark, cube("1")))
+    assert load_planned(spark, path, docs, plan).first().staged == 2

@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from cubestar.operators.outputs import annual_summary, point_lookup, union_outputs
+from cubestar.operators.outputs import annual_summary, flatten, point_lookup, union_outputs
 from cubestar.operators.quality import (
     orphan_facts,
     primary_key_violations,
@@ -12,7 +12,7 @@ from cubestar.operators.quality import (
 )
 from cubestar.plans.load import load_batch, load_into, load_metadata, save_metadata
 from cubestar.plans.materialize import KeyViolation, check_outputs, materialize
-from cubestar.plans.presets import flat_output, point_series
+from cubestar.plans.presets import SUMMARY_COLUMNS, flat_output, point_series
 from cubestar.schema import empty_star
 from cubestar.sources.star_tables import create_star, register_star
 from helpers import D2, cube, metadata, observations, values
@@ -70,7 +70,7 @@ def test_lookup_newest_first(star):
 
 
 def test_annual_summary(star):
-    got = {(r.localidade_id, r.categoria): r for r in annual_summary(flat_output(star, ["1"])).collect()}
+    got = {(r.localidade_id, r.categoria): r for r in annual_summary(flatten(star, ["1"], SUMMARY_COLUMNS)).collect()}
     cat = got["100", "Cat"]
     assert (cat.n, float(cat.soma), cat.media, float(cat.minimo), float(cat.maximo)) == (2, 9.57, 4.785, -3.0, 12.57)
     none = got["200", "Cat"]
@@ -171,3 +171,26 @@ def test_star_checks(spark, star):
     assert values(orphan_facts(broken), "foreign_key", "n_facts") == [("periodo_id", 4)]
     assert star_duplicates(broken)["dados"].count() == 4
     assert {r.missing for r in star_missing(broken)["dados"].collect()} == {"v"}
+
+
+def test_old_table_survives_a_failed_rename(spark, monkeypatch):
+    spark.sql("CREATE DATABASE IF NOT EXISTS publish")
+    output = {"name": "t", "schema": "publish", "strategy": "replace", "sql": "SELECT 1 AS x"}
+    materialize(spark, [output], "publish")
+    run = type(spark).sql
+
+    def failing(self, text, *args, **kwargs):
+        if text.startswith("ALTER TABLE `publish`.`t__") and "__old_" not in text:
+            raise RuntimeError("no rename")
+        return run(self, text, *args, **kwargs)
+
+    monkeypatch.setattr(type(spark), "sql", failing)
+    with pytest.raises(RuntimeError):
+        materialize(spark, [{**output, "sql": "SELECT 2 AS x"}], "publish")
+    monkeypatch.undo()
+    assert values(spark.table("publish.t"), "x") == [(1,)]
+    assert [t.name for t in spark.catalog.listTables("publish")] == ["t"]
+    materialize(spark, [{**output, "sql": "SELECT 3 AS x", "description": "third"}], "publish")
+    assert values(spark.table("publish.t"), "x") == [(3,)]
+    assert [t.name for t in spark.catalog.listTables("publish")] == ["t"]
+    spark.sql("DROP DATABASE publish CASCADE")

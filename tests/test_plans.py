@@ -4,11 +4,11 @@ import pytest
 
 from cubestar.functions.codes import null_sentinels
 from cubestar.operators.dimensions import distinct_dimensions, distinct_places
-from cubestar.operators.facts import merge_touched, touched_partitions
+from cubestar.operators.facts import merge_touched, of_cubes, touched_partitions
 from cubestar.operators.lookups import resolve_by_content
-from cubestar.operators.outputs import annual_summary
+from cubestar.operators.outputs import annual_summary, flatten
 from cubestar.plans.load import load_batch, load_into, load_metadata, save_metadata
-from cubestar.plans.presets import flat_output
+from cubestar.plans.presets import SUMMARY_COLUMNS, flat_output
 from cubestar.schema import empty_star
 from cubestar.sources.documents import explode_documents, latest_documents, list_documents, read_documents
 from cubestar.sources.star_tables import create_star, read_star
@@ -32,8 +32,19 @@ def stored(spark, tmp_path_factory):
 def test_merge_prunes_stored_partitions(spark, stored):
     batch = null_sentinels(observations(spark, {"V": "2"}))
     cells = resolve_by_content(batch, stored.periodo, stored.tabela_sidra).filter("reject_reason IS NULL")
-    merged = plan(merge_touched(stored.dados, cells, latest=touched_partitions(cells)))
-    assert "dynamicpruning" in merged.lower()
+    merged = merge_touched(stored.dados, cells, latest=touched_partitions(cells))
+    text = plan(merged)
+    facts = [line for line in text.splitlines() if "FileScan" in line and "dimensao_id" in line]
+    assert facts and all("tabela_sidra_id" in line.split("PartitionFilters:")[1] for line in facts)
+
+
+def test_merge_prunes_without_broadcasts(spark, stored):
+    """Only files of the batch's cube are read, whatever joins are chosen."""
+    batch = null_sentinels(observations(spark, {"V": "2"}))
+    cells = resolve_by_content(batch, stored.periodo, stored.tabela_sidra).filter("reject_reason IS NULL")
+    read = of_cubes(stored.dados, touched_partitions(cells))
+    assert all("tabela_sidra_id=1/" in f for f in read.select("_metadata.file_path").distinct().toPandas()["file_path"])
+    assert of_cubes(stored.dados, touched_partitions(cells), 0).count() == stored.dados.count() > read.count()
 
 
 def test_flat_output_filters_partitions(stored):
@@ -58,7 +69,7 @@ def test_document_texts_are_not_shuffled(spark, tmp_path):
 
 
 def test_summary_combines_before_the_shuffle(stored):
-    assert "partial_sum" in plan(annual_summary(flat_output(stored, ["1"])))
+    assert "partial_sum" in plan(annual_summary(flatten(stored, ["1"], SUMMARY_COLUMNS)))
 
 
 def test_large_sides_are_not_hinted(spark):
