@@ -8,7 +8,8 @@ calibrated on labelled rows that no dictionary has seen, are its score.
 
 Both dictionaries end in the same frequent words. Before them stand the words
 that distinguish the labelled texts of their class, by the likelihood ratio of
-document frequencies.
+document frequencies. Near copies in the sample count as one document there, and
+stay together on one side of the calibration.
 """
 
 from __future__ import annotations
@@ -33,11 +34,12 @@ MAX_ORDINARY = 4_000
 MAX_SAMPLE_CHARS = 20_000
 
 WINDOW = 16
+SIGNATURES = 4
 TOP_WINDOWS = 3
 MIN_DOCUMENTS = 3
 MIN_RATIO = 8.0
-MIN_LIKELIHOOD = 7.0
-MAX_CLASS_WORDS = 2_048
+MIN_LIKELIHOOD = 10.0
+MAX_CLASS_WORDS = 512
 SHARED_WORDS = 512
 THRESHOLD = 0.7
 MAX_CODES = 400_000
@@ -78,13 +80,18 @@ class ToxicityModel:
 
 
 def _compressor(dictionary: bytes):
+    """The greedy strategy finds every word of a dictionary; the fast one loses some
+    to equal hashes, which looks like a gain of the other dictionary."""
     parameters = zstandard.ZstdCompressionParameters.from_level(
         1,
-        min_match=7,
+        min_match=6,
+        hash_log=16,
+        chain_log=16,
+        search_log=3,
         write_content_size=0,
         write_checksum=0,
         write_dict_id=0,
-        strategy=zstandard.STRATEGY_FAST,
+        strategy=zstandard.STRATEGY_GREEDY,
     )
     content = zstandard.ZstdCompressionDict(dictionary, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
     content.precompute_compress(compression_params=parameters)
@@ -108,12 +115,38 @@ def _features(gains: list[int]) -> tuple[float, float]:
     return (top[0] / 10, sum(max(0, g) for g in top) / 10) if top else (0.0, 0.0)
 
 
-def _document_counts(texts: list[bytes], codes: _Codes) -> Counter:
+def copy_groups(codes: list[bytes]) -> list[int]:
+    """A group number for each coded text; near copies share the smallest hash of
+    their word pairs in one of ``SIGNATURES`` orders, and with it the group."""
+    parent = list(range(len(codes)))
+
+    def find(x: int) -> int:
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    seen: dict[tuple[int, int], int] = {}
+    for i, code in enumerate(codes):
+        words = np.frombuffer(code, np.uint64)
+        pairs = words[:-1] * np.uint64(3) + words[1:] if len(words) > 1 else words
+        for k in range(SIGNATURES if len(pairs) else 0):
+            mixed = (pairs ^ np.uint64(k * 0x9E3779B97F4A7C15 & (2**64 - 1))) * np.uint64(0xD6E8FEB86659FD93)
+            first = seen.setdefault((k, int((mixed ^ (mixed >> np.uint64(32))).min())), i)
+            parent[find(i)] = find(first)
+    return [find(i) for i in range(len(codes))]
+
+
+def _document_counts(texts: list[bytes], codes: _Codes) -> tuple[Counter, int]:
+    """Documents by word, and all documents; a group of near copies is one document."""
+    coded_texts = [coded(text, codes) for text in texts]
+    groups: dict[int, set[bytes]] = {}
+    for group, code in zip(copy_groups(coded_texts), coded_texts):
+        groups.setdefault(group, set()).update(code[at : at + 8] for at in range(0, len(code), 8))
     found: Counter = Counter()
-    for text in texts:
-        code = coded(text, codes)
-        found.update({code[at : at + 8] for at in range(0, len(code), 8)})
-    return found
+    for words in groups.values():
+        found.update(words)
+    return found, len(groups)
 
 
 def distinguishing(own: Counter, n_own: int, other: Counter, n_other: int) -> list[bytes]:
@@ -134,9 +167,9 @@ def distinguishing(own: Counter, n_own: int, other: Counter, n_other: int) -> li
 def train_dictionaries(toxic: list[bytes], ordinary: list[bytes]) -> tuple[bytes, bytes]:
     """(ordinary, toxic) dictionaries of equal length."""
     codes = _Codes()
-    t, o = _document_counts(toxic, codes), _document_counts(ordinary, codes)
-    marked = distinguishing(t, len(toxic), o, len(ordinary))
-    plain = distinguishing(o, len(ordinary), t, len(toxic))
+    (t, n_toxic), (o, n_ordinary) = _document_counts(toxic, codes), _document_counts(ordinary, codes)
+    marked = distinguishing(t, n_toxic, o, n_ordinary)
+    plain = distinguishing(o, n_ordinary, t, n_toxic)
     own = {*marked, *plain}
     frequent = sorted((t + o).items(), key=lambda x: (-x[1], x[0]))
     shared = b"".join(w for w, _ in frequent[:SHARED_WORDS][::-1] if w not in own)
@@ -145,7 +178,8 @@ def train_dictionaries(toxic: list[bytes], ordinary: list[bytes]) -> tuple[bytes
 
 
 def calibrate(features: np.ndarray, labels: np.ndarray) -> tuple[float, tuple[float, float]]:
-    """Logistic regression by Newton steps, lightly regularised."""
+    """Logistic regression by Newton steps, lightly regularised, moved so that the
+    cut with the best balance of precision and recall (F1) has ``THRESHOLD``."""
     x = np.column_stack([np.ones(len(features)), features])
     w = np.zeros(3)
     ridge = np.diag([1e-3, 0.05, 0.05])
@@ -156,7 +190,17 @@ def calibrate(features: np.ndarray, labels: np.ndarray) -> tuple[float, tuple[fl
         w += step
         if np.abs(step).max() < 1e-9:
             break
-    return float(w[0]), (float(w[1]), float(w[2]))
+    z = x @ w
+    order = np.argsort(-z, kind="stable")
+    hits = np.cumsum(labels[order])
+    f1 = 2 * hits / (np.arange(1, len(z) + 1) + labels.sum())
+    ends = np.append(z[order[1:]] != z[order[:-1]], True)
+    best = int(np.argmax(np.where(ends, f1, -1.0)))
+    # Half way to the next score below, so that equal scores fall on one side.
+    below = z[order[best + 1]] if best + 1 < len(z) else z[order[best]] - 1
+    cut = (z[order[best]] + below) / 2
+    bias = float(w[0]) - cut + math.log(THRESHOLD / (1 - THRESHOLD))
+    return bias, (float(w[1]), float(w[2]))
 
 
 def fit_sample(sample: list[tuple[int, bytes, int]]) -> ToxicityModel:
@@ -164,7 +208,9 @@ def fit_sample(sample: list[tuple[int, bytes, int]]) -> ToxicityModel:
 
     Without both classes there is nothing to learn and every score is near 0.
     """
-    held = [zlib.crc32(f"calibrate:{i}".encode()) % 4 == 0 for i, _, _ in sample]
+    codes = _Codes()
+    groups = copy_groups([coded(t, codes) for _, t, _ in sample])
+    held = [zlib.crc32(f"calibrate:{sample[g][0]}".encode()) % 4 == 0 for g in groups]
     part = {
         (side, y): [t for (_, t, label), h in zip(sample, held) if h == side and label == y]
         for side in (False, True)
@@ -175,7 +221,7 @@ def fit_sample(sample: list[tuple[int, bytes, int]]) -> ToxicityModel:
     ordinary, toxic = train_dictionaries(part[False, 1], part[False, 0])
     if not (part[True, 0] and part[True, 1]):
         return ToxicityModel(ordinary, toxic, -4.0, (2.0, 3.0))
-    gains, codes = _gains(ordinary, toxic), _Codes()
+    gains = _gains(ordinary, toxic)
     rows = [(_features(gains(coded(t, codes))), y) for y in (0, 1) for t in part[True, y]]
     bias, weights = calibrate(
         np.array([f for f, _ in rows]), np.array([float(y) for _, y in rows])
