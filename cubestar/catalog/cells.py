@@ -322,15 +322,17 @@ def t10_published(spark, sf):
 
 _DOCUMENT_ROWS = """
 published AS (
-  SELECT *, TRUE AS first FROM old_batch_resolved WHERE tabela_sidra_id = 'T1'
-  UNION ALL SELECT *, FALSE FROM new_batch_resolved WHERE tabela_sidra_id = 'T1'),
+  SELECT *, TRUE AS first FROM old_batch_resolved
+  UNION ALL SELECT *, FALSE FROM new_batch_resolved),
 kept AS (
   SELECT * FROM (
     SELECT *, row_number() OVER (
       PARTITION BY tabela_sidra_id, localidade_id, dimensao_id, periodo_id, modificacao
       ORDER BY v) AS rn
     FROM published WHERE reject_reason IS NULL) AS x WHERE rn = 1),
-newest AS (SELECT periodo_id, max(modificacao) AS m FROM kept GROUP BY periodo_id)"""
+newest AS (
+  SELECT tabela_sidra_id, periodo_id, max(modificacao) AS m FROM kept
+  GROUP BY tabela_sidra_id, periodo_id)"""
 
 
 @query(
@@ -339,7 +341,8 @@ newest AS (SELECT periodo_id, max(modificacao) AS m FROM kept GROUP BY periodo_i
     + """
 SELECT k.tabela_sidra_id, k.localidade_id, k.dimensao_id, k.periodo_id,
        CAST(k.modificacao AS VARCHAR) AS modificacao, k.modificacao = n.m AS ativo, k.v
-FROM kept k JOIN newest n ON n.periodo_id = k.periodo_id""",
+FROM kept k JOIN newest n
+  ON n.tabela_sidra_id = k.tabela_sidra_id AND n.periodo_id = k.periodo_id""",
 )
 def t10_documents(spark, sf):
     """JSON documents of all modifications, loaded in one batch.

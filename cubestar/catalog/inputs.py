@@ -263,25 +263,35 @@ _HEADER = {
 }
 REQUEST_TAIL = "_f-A_n3-all_v-1,2_c81-_c87-@"
 
+# T1 is asked for whole, the larger cubes by ranges of so many places.
+PLACES_PER_DOCUMENT = 2_000
+DOCUMENT_PART = (
+    "CASE WHEN tabela_sidra_id = 'T1' THEN 0"
+    f" ELSE CAST(floor(CAST(trim(D1C) AS DOUBLE) / {PLACES_PER_DOCUMENT}) AS BIGINT) END"
+)
+
 
 def _write_documents(spark: SparkSession, sf_dir: str, path: str) -> None:
-    """One JSON array per month and modification of T1.
+    """One JSON array per cube, period, range of places and modification.
 
-    A document of T1 has at most nations x flags x statuses x variables rows.
+    A document of T1 has at most nations x flags x statuses x variables rows,
+    others at most a range of places x categories.
     """
     columns = list(_HEADER)
     header = F.struct(*(F.lit(t).alias(c) for c, t in _HEADER.items()))
-    rows = (
-        source(spark, sf_dir, "old_batch")
-        .unionByName(source(spark, sf_dir, "new_batch"))
-        .filter("tabela_sidra_id = 'T1'")
+    rows = source(spark, sf_dir, "old_batch").unionByName(
+        source(spark, sf_dir, "new_batch")
+    )
+    part = F.expr(DOCUMENT_PART).alias("part")
+    tail = F.when(F.col("tabela_sidra_id") == "T1", F.lit(REQUEST_TAIL)).otherwise(
+        F.concat(F.lit("_f-A_n6-"), F.col("part").cast("string"), F.lit("_v-all@"))
     )
     docs = (
-        rows.groupBy("D3C", "modificacao")
+        rows.groupBy("tabela_sidra_id", "D3C", "modificacao", part)
         .agg(F.array_sort(F.collect_list(F.struct(*columns))).alias("rows"))
         .select(
             F.concat(
-                F.lit("t-T1_p-"), "D3C", F.lit(REQUEST_TAIL),
+                F.lit("t-"), "tabela_sidra_id", F.lit("_p-"), "D3C", tail,
                 F.col("modificacao").cast("string"), F.lit(".json"),
             ).alias("document"),
             F.to_json(F.concat(F.array(header), "rows")).alias("value"),
@@ -296,7 +306,7 @@ def _write_documents(spark: SparkSession, sf_dir: str, path: str) -> None:
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Landed documents of T1: (file_path, value)."""
+    """Landed documents of all cubes: (file_path, value)."""
     path = _once(
         spark, sf_dir, "documents", lambda p: _write_documents(spark, sf_dir, p)
     )
@@ -304,7 +314,11 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         path, wholetext=True
     )
     return observation_documents(
-        landed.select(F.concat(F.lit("t-T1/"), "document").alias("file_path"), "value")
+        landed.select(
+            F.concat(F.regexp_extract("document", "^t-[^_]+", 0), F.lit("/"), "document")
+            .alias("file_path"),
+            "value",
+        )
     )
 
 

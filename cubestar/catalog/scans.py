@@ -37,6 +37,7 @@ from cubestar.sources.documents import (
     latest_documents,
     observations_from_documents,
     request_modification,
+    request_table,
 )
 from cubestar.sources.export import export_members
 from cubestar.sources.landing import names_of, split_plan, with_request_key
@@ -51,10 +52,10 @@ from cubestar.sources.metadata import (
 from cubestar.sources.star_tables import register_star
 from cubestar.sources.workdir import new_path
 
-_T1_ROWS = f"""
+_LANDED_ROWS = f"""
 both_batches AS (
-  SELECT * FROM old_batch WHERE tabela_sidra_id = 'T1'
-  UNION ALL SELECT * FROM new_batch WHERE tabela_sidra_id = 'T1')"""
+  SELECT *, {inputs.DOCUMENT_PART} AS part
+  FROM (SELECT * FROM old_batch UNION ALL SELECT * FROM new_batch) AS b)"""
 _NULLED = ", ".join(f"{nulled(c)} AS {c}" for c in RAW)
 
 
@@ -64,7 +65,7 @@ _NULLED = ", ".join(f"{nulled(c)} AS {c}" for c in RAW)
         ("old_batch", "new_batch"),
         f"SELECT tabela_sidra_id, CAST(modificacao AS VARCHAR) AS modificacao, {_NULLED}"
         " FROM both_batches",
-        _T1_ROWS,
+        _LANDED_ROWS,
     ),
 )
 def s1(spark, sf):
@@ -86,16 +87,20 @@ def s2(spark, sf):
     "s3_latest_documents",
     from_inputs(
         ("old_batch", "new_batch"),
-        f"""SELECT b.D3C AS period, CAST(m.latest AS VARCHAR) AS modification, {_NULLED}
+        f"""SELECT b.tabela_sidra_id, b.D3C AS period,
+       CAST(m.latest AS VARCHAR) AS modification, {_NULLED}
 FROM both_batches b
-JOIN (SELECT D3C AS period, max(modificacao) AS latest FROM both_batches GROUP BY D3C) m
-  ON m.period = b.D3C AND m.latest = b.modificacao""",
-        _T1_ROWS,
+JOIN (SELECT tabela_sidra_id AS cube, D3C AS period, part AS range, max(modificacao) AS latest
+      FROM both_batches GROUP BY tabela_sidra_id, D3C, part) m
+  ON m.cube = b.tabela_sidra_id AND m.period = b.D3C AND m.range = b.part
+     AND m.latest = b.modificacao""",
+        _LANDED_ROWS,
     ),
 )
 def s3(spark, sf):
     docs = latest_documents(inputs.documents(spark, sf))
     return explode_documents(docs).select(
+        request_table(F.col("file_path")).alias("tabela_sidra_id"),
         F.regexp_extract("file_path", "_p-([0-9]+)_", 1).alias("period"),
         request_modification(F.col("file_path")).alias("modification"),
         *RAW,
@@ -196,9 +201,9 @@ def s5(spark, sf):
         """SELECT p.tabela_sidra_id AS tabela_sidra, p.codigo AS period,
        CASE WHEN d.D3C IS NOT NULL THEN 'landed' ELSE 'pending' END AS state
 FROM meta_periods p
-LEFT JOIN (SELECT DISTINCT D3C, modificacao FROM both_batches) d
+LEFT JOIN (SELECT DISTINCT D3C, modificacao FROM both_batches WHERE tabela_sidra_id = 'T1') d
   ON p.tabela_sidra_id = 'T1' AND d.D3C = p.codigo AND d.modificacao = p.modificacao""",
-        _T1_ROWS,
+        _LANDED_ROWS,
     ),
 )
 def s6(spark, sf):
@@ -512,9 +517,11 @@ def p11(spark, sf):
     "a4_files_per_table",
     from_inputs(
         ("old_batch", "new_batch"),
-        """SELECT 'T1' AS tabela_sidra_id, count(*) + 2 AS n_files
-FROM (SELECT DISTINCT D3C, modificacao FROM both_batches) AS d""",
-        _T1_ROWS,
+        """SELECT tabela_sidra_id,
+       count(*) + CASE WHEN tabela_sidra_id = 'T1' THEN 2 ELSE 0 END AS n_files
+FROM (SELECT DISTINCT tabela_sidra_id, D3C, part, modificacao FROM both_batches) AS d
+GROUP BY tabela_sidra_id""",
+        _LANDED_ROWS,
     ),
 )
 def a4(spark, sf):
