@@ -194,3 +194,23 @@ def test_old_table_survives_a_failed_rename(spark, monkeypatch):
     assert values(spark.table("publish.t"), "x") == [(3,)]
     assert [t.name for t in spark.catalog.listTables("publish")] == ["t"]
     spark.sql("DROP DATABASE publish CASCADE")
+
+
+def test_every_plain_index_has_an_effect(spark):
+    import pyarrow.parquet as pq
+
+    spark.sql("CREATE DATABASE IF NOT EXISTS layout")
+    output = {
+        "name": "t", "schema": "layout", "strategy": "replace",
+        "sql": "SELECT id AS a, id % 7 AS b, CAST(id AS STRING) AS c FROM range(1000)",
+        "indexes": [{"name": "i", "columns": ["a"]}, {"name": "j", "columns": ["c"]}],
+    }
+    materialize(spark, [output], "layout")
+    file = spark.table("layout.t").inputFiles()[0].removeprefix("file:")
+    text = open(file, "rb").read()
+    assert pq.read_table(file).num_rows
+    plain = {**output, "indexes": output["indexes"][:1]}
+    materialize(spark, [plain], "layout")
+    files = spark.table("layout.t").inputFiles()
+    assert len(text) > len(open(files[0].removeprefix("file:"), "rb").read())
+    spark.sql("DROP DATABASE layout CASCADE")
