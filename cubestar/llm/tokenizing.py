@@ -3,22 +3,28 @@
 from __future__ import annotations
 
 import os
-import re
 
 import numpy as np
 
 #: Words kept encoded in a Python worker; a full cache starts anew.
-MAX_CACHED_WORDS = 400_000
+MAX_CACHED_WORDS = 800_000
+
+#: Unknown words that are encoded as one text.
+JOINED_WORDS = 256
 
-_POINT = re.compile(rb"(?<=[a-z])([.,])(?=[ \n]|$)")
 _caches: dict[tuple[str, str], WordCache] = {}
 
 
+def _pointed(word: bytes) -> bool:
+    """Whether a word is an a-z letter, at least, and one point or comma at the end."""
+    return len(word) > 1 and word[-1] in b".," and 97 <= word[-2] <= 122
+
+
 class WordCache:
     """Word (bytes) to encoded ids as little-endian unsigned 16-bit bytes."""
 
-    def __init__(self, encode):
-        self.encode = encode
+    def __init__(self, encode, cuts_points: bool = False):
+        self.encode, self.cuts_points = encode, cuts_points
         self.words: dict[bytes, bytes] = {}
 
     def fill(self, words: set[bytes]) -> None:
@@ -27,8 +33,17 @@ class WordCache:
         if len(known) + len(missing) > MAX_CACHED_WORDS:
             known.clear()
             missing = list(words)
-        for word, ids in zip(missing, self.encode(missing)):
-            known[word] = np.asarray(ids, dtype="<u2").tobytes()
+        whole = [w for w in missing if not _pointed(w)]
+        pointed = [w for w in missing if _pointed(w)]
+        if self.cuts_points and pointed:
+            # Letters and the point or comma behind them are encoded on their own.
+            more = {w[:-1] for w in pointed} | {w[-1:] for w in pointed}
+            whole += [w for w in more.difference(whole) if w not in known]
+        else:
+            whole, pointed = missing, []
+        known.update(zip(whole, self.encode(whole)))
+        for w in pointed:
+            known[w] = known[w[:-1]] + known[w[-1:]]
 
     def ids(self, texts: list[list[bytes]]) -> list[bytes]:
         """The ids of each list of words."""
@@ -37,14 +52,47 @@ class WordCache:
         return [b"".join(map(look, words)) for words in texts]
 
 
+def _packed(ids) -> bytes:
+    return np.asarray(ids, dtype="<u2").tobytes()
+
+
 def _word_tokenizer(path: str):
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
-
-    def encode(words: list[bytes]):
-        return [e.ids for e in tokenizer.encode_batch_fast([w.decode(errors="replace") for w in words], add_special_tokens=False)]
+    closing = np.zeros(1 << 16, bool)
+    closing[[i for token, i in tokenizer.get_vocab().items() if token.endswith("</w>")]] = True
+
+    def separate(words: list[str]) -> list[bytes]:
+        return [_packed(e.ids) for e in tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+
+    def together(words: list[str]) -> list[bytes]:
+        """Words of letters as one text: each ends with a closing token.
+
+        A word that the tokenizer cuts has more than one, so equal numbers mean
+        that no word was cut.
+        """
+        (whole,) = tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)
+        ids = np.asarray(whole.ids, dtype="<u2")
+        ends = np.flatnonzero(closing[ids]) + 1
+        if len(ends) != len(words):
+            return separate(words)
+        raw, cuts = ids.tobytes(), [0, *(2 * ends).tolist()]
+        return [raw[a:b] for a, b in zip(cuts, cuts[1:])]
+
+    def encode(words: list[bytes]) -> list[bytes]:
+        texts = [w.decode(errors="replace") for w in words]
+        letters = [i for i, w in enumerate(texts) if w.isalpha()]
+        others = [i for i, w in enumerate(texts) if not w.isalpha()]
+        out: list[bytes] = [b""] * len(words)
+        for at in range(0, len(letters), JOINED_WORDS):
+            some = letters[at : at + JOINED_WORDS]
+            for i, ids in zip(some, together([texts[i] for i in some])):
+                out[i] = ids
+        for i, ids in zip(others, separate([texts[i] for i in others])):
+            out[i] = ids
+        return out
 
     return encode
 
@@ -53,27 +101,31 @@ def _piece_tokenizer(path: str):
     import sentencepiece
 
     model = sentencepiece.SentencePieceProcessor(model_file=path)
-    return lambda words: model.encode([w.decode(errors="replace") for w in words], num_threads=1)
+
+    def encode(words: list[bytes]) -> list[bytes]:
+        texts = [w.decode(errors="replace") for w in words]
+        return [_packed(ids) for ids in model.encode(texts, num_threads=1)]
+
+    return encode
 
 
 def cache_of(kind: str, path: str) -> WordCache:
     """The worker's cache for a vocabulary file; tasks of one worker share it."""
     if (kind, path) not in _caches:
         make = {"word": _word_tokenizer, "piece": _piece_tokenizer}[kind]
-        _caches[kind, path] = WordCache(make(path))
+        _caches[kind, path] = WordCache(make(path), cuts_points=kind == "word")
     return _caches[kind, path]
 
 
 def lowered_words(text: bytes) -> list[bytes]:
     """Words that a lower-casing tokenizer encodes one by one like the whole text.
 
-    Such a tokenizer drops blanks and never joins letters with other characters,
-    so a point or comma behind a letter may stand alone. Texts that could hold
-    the string of a special token keep their case.
+    Such a tokenizer drops blanks and never joins letters with other characters.
+    Texts that could hold the string of a special token keep their case.
     """
     if b"<|" not in text:
         text = text.lower()
-    return _POINT.sub(rb" \1", text).split()
+    return text.split()
 
 
 def vocabulary_path(name: str) -> str:
