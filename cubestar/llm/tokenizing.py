@@ -121,11 +121,15 @@ def lowered_words(text: bytes) -> list[bytes]:
     """Words that a lower-casing tokenizer encodes one by one like the whole text.
 
     Such a tokenizer drops blanks and never joins letters with other characters.
+    Only words of ASCII are lowered: the tokenizer composes before it lowers, and
+    a capital with a mark may have no composed form where its small letter has.
     Texts that could hold the string of a special token keep their case.
     """
-    if b"<|" not in text:
-        text = text.lower()
-    return text.split()
+    if b"<|" in text:
+        return text.split()
+    if text.isascii():
+        return text.lower().split()
+    return [w.lower() if w.isascii() else w for w in text.split()]
 
 
 def vocabulary_path(name: str) -> str:

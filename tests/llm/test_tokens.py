@@ -66,6 +66,13 @@ def test_words_encode_like_the_whole_text(text):
     assert np.frombuffer(ids, "<u2").tolist() == TOKENIZER.encode(text, add_special_tokens=False).ids
 
 
+@pytest.mark.parametrize("letter", ["H\u0331", "J\u030c", "T\u0308", "T\u0344", "W\u030a", "Y\u030a"])
+def test_capitals_composed_only_when_small(letter):
+    text = f"{letter}ena AB {letter}. Word{letter} {letter.lower()}ab, T"
+    (ids,) = cache_of("word", WORD_BPE).ids([lowered_words(text.encode())])
+    assert np.frombuffer(ids, "<u2").tolist() == TOKENIZER.encode(text, add_special_tokens=False).ids
+
+
 @given(st.text(alphabet=st.sampled_from("abZé.,'! \n\tİ1漢-"), max_size=60))
 def test_any_text_encodes_like_the_whole(text):
     (ids,) = cache_of("word", WORD_BPE).ids([lowered_words(text.encode())])
