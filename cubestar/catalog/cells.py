@@ -138,8 +138,8 @@ def j5_load(spark, sf):
     "j5_resolve_by_lookup",
     batch_inputs("old_batch").replace("WITH ", "WITH " + inputs.with_inputs("meta_places") + ",", 1)
     + f""",
-known AS (SELECT DISTINCT {level('nivel')} AS nc, id AS d1c FROM meta_places),
-known_ids AS (SELECT {PLACE_ID} AS id FROM known)
+known AS MATERIALIZED (SELECT DISTINCT {level('nivel')} AS nc, id AS d1c FROM meta_places),
+known_ids AS MATERIALIZED (SELECT {PLACE_ID} AS id FROM known)
 SELECT r.tabela_sidra_id, k.id AS localidade_id, r.dimensao_id, r.periodo_id, r.codigo,
        CAST(r.modificacao AS VARCHAR) AS modificacao, r.v, TRUE AS ativo,
        CASE WHEN k.id IS NULL THEN 'localidade' ELSE r.reject_reason END AS reject_reason
@@ -192,7 +192,7 @@ def a1(spark, sf):
 
 
 _LATEST = """
-latest AS (
+latest AS MATERIALIZED (
   SELECT tabela_sidra_id, periodo_id, max(modificacao) AS m FROM new_batch_resolved
   WHERE reject_reason IS NULL GROUP BY tabela_sidra_id, periodo_id)"""
 
@@ -228,8 +228,8 @@ def after(revisions: str) -> str:
         else "SELECT * FROM latest"
     )
     return f"""{_LATEST},
-newest AS ({newest}),
-added AS (
+newest AS MATERIALIZED ({newest}),
+added AS MATERIALIZED (
   SELECT n.* FROM (
     SELECT *, row_number() OVER (
       PARTITION BY {keys} ORDER BY modificacao DESC, file_path, v) AS rn
@@ -238,10 +238,10 @@ added AS (
     ON f.tabela_sidra_id = n.tabela_sidra_id AND f.localidade_id = n.localidade_id
    AND f.dimensao_id = n.dimensao_id AND f.periodo_id = n.periodo_id {more}
   WHERE n.rn = 1 AND f.v IS NULL),
-everything AS (
+everything AS MATERIALIZED (
   SELECT {_CELL}, modificacao, v, FALSE AS inserted FROM facts
   UNION ALL SELECT {_CELL}, modificacao, v, TRUE FROM added),
-after AS (
+after AS MATERIALIZED (
   SELECT e.*, coalesce(e.modificacao >= l.m, TRUE) AS ativo
   FROM everything e LEFT JOIN newest l
     ON l.tabela_sidra_id = e.tabela_sidra_id AND l.periodo_id = e.periodo_id)"""
@@ -321,10 +321,10 @@ def t10_published(spark, sf):
 
 
 _DOCUMENT_ROWS = """
-published AS (
+published AS MATERIALIZED (
   SELECT *, TRUE AS first FROM old_batch_resolved
   UNION ALL SELECT *, FALSE FROM new_batch_resolved),
-kept AS (
+kept AS MATERIALIZED (
   SELECT * FROM (
     SELECT *, row_number() OVER (
       PARTITION BY tabela_sidra_id, localidade_id, dimensao_id, periodo_id, modificacao

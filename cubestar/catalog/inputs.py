@@ -203,8 +203,11 @@ _USES = {
 _staged: dict[tuple[str, str, str], str] = {}
 
 
-def with_inputs(*names: str) -> str:
-    """The named statements, and those they read, as one WITH list."""
+def with_inputs(*names: str, materialized: bool = True) -> str:
+    """The named statements, and those they read, as one WITH list.
+
+    ``materialized`` is for comparison statements: each input is derived once there.
+    """
     wanted: list[str] = []
 
     def visit(name: str) -> None:
@@ -215,7 +218,8 @@ def with_inputs(*names: str) -> str:
 
     for name in names:
         visit(name)
-    return ",\n".join(f"{name} AS ({SQL[name]})" for name in wanted)
+    kind = "MATERIALIZED " if materialized else ""
+    return ",\n".join(f"{name} AS {kind}({SQL[name]})" for name in wanted)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -226,7 +230,7 @@ def derive(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Run one of the statements over the tables of ``sf_dir``."""
     for t in TABLES:
         table(spark, sf_dir, t).createOrReplaceTempView(t)
-    return spark.sql(f"WITH {with_inputs(name)} SELECT * FROM {name}")
+    return spark.sql(f"WITH {with_inputs(name, materialized=False)} SELECT * FROM {name}")
 
 
 def _once(spark: SparkSession, sf_dir: str, name: str, write) -> str:

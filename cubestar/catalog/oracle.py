@@ -48,8 +48,8 @@ def cells(batch: str) -> str:
     upper = ", ".join(f"CAST(NULL AS VARCHAR) AS {c}" for c in UPPER_SLOTS)
     extra = ", modificacao, file_path" if batch.endswith("_batch") else ""
     return f"""
-{batch}_raw AS (SELECT tabela_sidra_id{extra}, {raw} FROM {batch}),
-{batch}_cells AS (
+{batch}_raw AS MATERIALIZED (SELECT tabela_sidra_id{extra}, {raw} FROM {batch}),
+{batch}_cells AS MATERIALIZED (
   SELECT tabela_sidra_id{extra},
          {level(cleaned('NC'))} AS nc, NN AS raw_nn, {stripped("coalesce(NN, '')")} AS nn,
          {cleaned('D1C')} AS d1c, D1N AS raw_d1n, {stripped("coalesce(D1N, '')")} AS d1n,
@@ -61,20 +61,20 @@ def cells(batch: str) -> str:
 
 # Distinct periods of the descriptions, with ids.
 PERIODS = f"""
-period_rows AS (
+period_rows AS MATERIALIZED (
   SELECT DISTINCT codigo, frequencia, ano, semestre, mes,
          CASE WHEN frequencia = 'semestral'
               THEN concat('2|', length(codigo), ':', codigo, '|8:semestre')
               ELSE concat('1|', length(codigo), ':', codigo) END AS literals_text
   FROM meta_periods),
-periods AS (
+periods AS MATERIALIZED (
   SELECT {key('codigo', 'literals_text')} AS id, * FROM period_rows)"""
 
 
 def resolved(batch: str) -> str:
     """CTE ``{batch}_resolved``: ids of every valued cell, or why it has none."""
     return f"""
-{batch}_resolved AS (
+{batch}_resolved AS MATERIALIZED (
   SELECT c.tabela_sidra_id, c.modificacao, c.file_path, c.codigo, c.v,
          {PLACE_ID} AS localidade_id,
          CASE WHEN d2c IS NOT NULL THEN {DIM_ID} END AS dimensao_id,
@@ -92,7 +92,7 @@ CELL = "tabela_sidra_id, localidade_id, dimensao_id, periodo_id"
 def facts() -> str:
     """CTE ``facts``: the star's facts after the first publication."""
     return f"""
-facts AS (
+facts AS MATERIALIZED (
   SELECT {CELL}, modificacao, TRUE AS ativo, v FROM old_batch_resolved
   WHERE reject_reason IS NULL)"""
 
@@ -114,13 +114,13 @@ def star_rows() -> str:
 WITH {with_inputs('old_batch', 'meta_cubes', 'meta_periods', 'meta_places')},
 {PERIODS},{cells('old_batch')},
 {place_rows()},
-dims AS (
+dims AS MATERIALIZED (
   SELECT {DIMS} FROM (
     SELECT *, row_number() OVER (
       PARTITION BY {', '.join(DIMENSION_KEY)}
       ORDER BY {order}, mn, d2n, d4n, d5n) AS rn
     FROM old_batch_cells WHERE d2c IS NOT NULL) AS x WHERE rn = 1),
-flat AS (
+flat AS MATERIALIZED (
   SELECT c.tabela_sidra_id, p.codigo, p.ano, p.mes, l.nc, l.nn, l.d1c, l.d1n,
          d.mn, d.d2n, d.d4n, d.d5n, c.v,
          CASE WHEN regexp_matches(c.v, '^-?[0-9]')
@@ -138,19 +138,19 @@ def place_rows() -> str:
     """CTE ``places``: descriptions first, then the first publication."""
     meta_level = level("nivel")
     return f"""
-meta_place_rows AS (
+meta_place_rows AS MATERIALIZED (
   SELECT nc, d1c, nn, d1n FROM (
     SELECT {meta_level} AS nc, id AS d1c, nivel_nome AS nn, nome AS d1n,
            row_number() OVER (PARTITION BY {meta_level}, id
                               ORDER BY tabela_sidra_id, nivel_nome, nome) AS rn
     FROM meta_places) AS x WHERE rn = 1),
-data_place_rows AS (
+data_place_rows AS MATERIALIZED (
   SELECT nc, d1c, nn, d1n FROM (
     SELECT nc, d1c, nn, d1n,
            row_number() OVER (PARTITION BY nc, d1c
                               ORDER BY modificacao DESC, file_path, raw_nn, raw_d1n) AS rn
     FROM old_batch_cells) AS x WHERE rn = 1),
-places AS (
+places AS MATERIALIZED (
   SELECT * FROM meta_place_rows
   UNION ALL
   SELECT d.* FROM data_place_rows d

@@ -284,10 +284,10 @@ def s8(spark, sf):
 
 
 _MEMBERS = """
-one AS (SELECT * FROM meta_categories WHERE pos = 0),
-two AS (SELECT * FROM meta_categories WHERE pos = 1),
-three AS (SELECT * FROM meta_categories WHERE pos = 2),
-members AS (
+one AS MATERIALIZED (SELECT * FROM meta_categories WHERE pos = 0),
+two AS MATERIALIZED (SELECT * FROM meta_categories WHERE pos = 1),
+three AS MATERIALIZED (SELECT * FROM meta_categories WHERE pos = 2),
+members AS MATERIALIZED (
   SELECT v.tabela_sidra_id, CAST(NULL AS VARCHAR) AS mc,
          coalesce(one.unidade, two.unidade, three.unidade, v.unidade) AS mn,
          v.id AS d2c, v.nome AS d2n, one.cat_id AS d4c, one.nome AS d4n,
