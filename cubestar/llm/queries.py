@@ -12,7 +12,10 @@ from cubestar.llm import (
     chat_format,
     decontaminate,
     mixing,
+    part_enum,
+    prefix_trie,
     quality,
+    ranked_search,
     simhash,
     suffix_dedup,
     token_planes,
@@ -221,3 +224,120 @@ def op9_url_rules(spark, sf_dir):
 @query("op10_decontaminate")
 def op10_decontaminate(spark, sf_dir):
     return decontaminate.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+_LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+@query(
+    "op11_part_enum",
+    rf"""
+WITH RECURSIVE words AS MATERIALIZED (
+    SELECT doc_id, regexp_extract_all({_LOWERED}, '[^\x20\x09-\x0D]+') AS w FROM documents),
+sets AS MATERIALIZED (
+    SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+        ELSE [w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] FOR i IN range(1, len(w) - 1)] END) AS s
+    FROM words),
+held AS MATERIALIZED (
+    SELECT doc_id, len(s) AS n, hash(x) AS h FROM (SELECT doc_id, s, unnest(s) AS x FROM sets)),
+links AS MATERIALIZED (
+    SELECT a.doc_id AS a, b.doc_id AS b
+    FROM held a JOIN held b ON a.h = b.h AND a.doc_id <> b.doc_id
+        AND 100 * a.n >= 90 * b.n AND 100 * b.n >= 90 * a.n
+    GROUP BY ALL HAVING 100 * count(*) >= 90 * (any_value(a.n) + any_value(b.n) - count(*))),
+reached(doc_id, other) AS (
+    SELECT doc_id, doc_id FROM sets
+    UNION
+    SELECT r.doc_id, l.b FROM reached r JOIN links l ON r.other = l.a)
+SELECT doc_id, any_value(len(s))::BIGINT AS n_shingles, min(other) AS component_id
+FROM reached JOIN sets USING (doc_id) GROUP BY doc_id""",
+)
+def op11_part_enum(spark, sf_dir):
+    return part_enum.similar_sets(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query(
+    "op12_ranked_search",
+    rf"""
+WITH words AS MATERIALIZED (
+    SELECT doc_id, regexp_extract_all({_LOWERED}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+sizes AS (SELECT doc_id, len(w) AS n FROM words WHERE len(w) > 0),
+totals AS (SELECT count(*) AS docs, sum(n)::BIGINT AS terms FROM sizes),
+asked AS MATERIALIZED (
+    SELECT DISTINCT item_id, unnest(regexp_extract_all({_LOWERED}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM benchmark),
+counts AS MATERIALIZED (
+    SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(w) AS term FROM words)
+    WHERE term IN (SELECT term FROM asked) GROUP BY ALL),
+weights AS (
+    SELECT term, floor(1000 * ln((2 * any_value(docs) + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+    FROM counts, totals GROUP BY term),
+impacts AS (
+    SELECT doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * n * docs) // terms))) AS impact
+    FROM counts JOIN weights USING (term) JOIN sizes USING (doc_id), totals),
+scores AS (
+    SELECT item_id, doc_id, sum(impact)::BIGINT AS score FROM asked JOIN impacts USING (term) GROUP BY ALL)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM (
+    SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scores WHERE score > 0)
+WHERE rank <= 10""",
+)
+def op12_ranked_search(spark, sf_dir):
+    return ranked_search.search(
+        table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark")
+    )
+
+
+@query(
+    "op13_prefix_trie",
+    r"""
+WITH turns AS MATERIALIZED (
+    SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+           row_number() OVER (PARTITION BY conv_id
+               ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) - 1 AS pos
+    FROM conversations WHERE conv_id IS NOT NULL),
+convs AS MATERIALIZED (
+    SELECT conv_id, n, conv_id - conv_id % 100 AS family,
+           xor(4294967295, list_reduce(
+               [4294967295] || list_transform(string_split(conv_id::VARCHAR, ''), lambda c: ord(c)::BIGINT),
+               lambda crc, byte: list_reduce([xor(crc, byte), 1, 2, 3, 4, 5, 6, 7, 8],
+                   lambda x, step: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END))) % 6 AS h
+    FROM (SELECT conv_id, count(*) AS n FROM turns GROUP BY conv_id)),
+rebuilt AS MATERIALIZED (
+    SELECT c.conv_id, t.role, t.text, t.pos
+    FROM convs c JOIN turns t ON t.conv_id = c.family AND t.pos < c.h
+    UNION ALL
+    SELECT c.conv_id, t.role, t.text, t.pos - c.h + least(c.h, coalesce(f.n, 0))
+    FROM convs c JOIN turns t ON t.conv_id = c.conv_id AND t.pos >= c.h
+    LEFT JOIN convs f ON f.conv_id = c.family),
+prefixes AS MATERIALIZED (
+    SELECT conv_id, 0 AS depth, '' AS node, NULL AS parent, 0 AS chars FROM convs
+    UNION ALL
+    SELECT a.conv_id, a.pos + 1,
+           string_agg(sha256(b.role) || sha256(b.text), '' ORDER BY b.pos),
+           coalesce(string_agg(sha256(b.role) || sha256(b.text), '' ORDER BY b.pos) FILTER (b.pos < a.pos), ''),
+           any_value(length(a.text))
+    FROM rebuilt a JOIN rebuilt b ON a.conv_id = b.conv_id AND b.pos <= a.pos
+    GROUP BY a.conv_id, a.pos),
+nodes AS MATERIALIZED (
+    SELECT node, any_value(depth) AS depth, any_value(parent) AS parent, min(conv_id) AS conv_id,
+           count(*) AS n_convs, any_value(chars) AS chars
+    FROM prefixes GROUP BY node),
+children AS (SELECT parent AS node, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY parent),
+subtrees AS (
+    SELECT above.node, count(*) FILTER (k.node IS NULL) AS n_leaves,
+           sum((below.n_convs - 1) * below.chars) AS saved_tokens
+    FROM nodes below LEFT JOIN children k ON k.node = below.node
+    JOIN nodes above ON starts_with(below.node, above.node)
+    GROUP BY above.node),
+ends AS (
+    SELECT node, string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) AS ids
+    FROM (SELECT conv_id, max_by(node, depth) AS node FROM prefixes GROUP BY conv_id) GROUP BY node)
+SELECT n.conv_id, n.depth::BIGINT AS depth, p.conv_id AS parent_conv_id, n.n_convs,
+       coalesce(k.n_children, 0) AS n_children, s.n_leaves, s.saved_tokens::BIGINT AS saved_tokens,
+       sha256(coalesce(e.ids, '')) AS ends_sha256
+FROM nodes n JOIN subtrees s ON s.node = n.node
+LEFT JOIN nodes p ON p.node = n.parent AND n.depth > 0
+LEFT JOIN children k ON k.node = n.node LEFT JOIN ends e ON e.node = n.node""",
+)
+def op13_prefix_trie(spark, sf_dir):
+    return prefix_trie.conversation_trie(table(spark, sf_dir, "conversations"))
