@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from cubestar.catalog import inputs
-from cubestar.catalog.cells import after
+from cubestar.catalog.cells import _described_places, after
 from cubestar.catalog.oracle import (
+    DIM_ID,
     PERIODS,
     batch_inputs,
     cells,
@@ -20,7 +21,6 @@ from cubestar.catalog.scans import STAR_JOIN, VALUE, _run
 from cubestar.functions.codes import dimension_key, null_sentinels, with_place_key
 from cubestar.operators.dimensions import (
     complete_raw,
-    places_from_metadata,
     with_values,
 )
 from cubestar.operators.outputs import (
@@ -40,6 +40,7 @@ from cubestar.operators.quality import (
     star_missing,
     unique_violations,
 )
+from cubestar.operators.surrogates import PLACE_KEY
 from cubestar.plans.load import load_batch
 from cubestar.plans.presets import (
     STANDARD_COLUMNS,
@@ -144,6 +145,21 @@ def t9(spark, sf):
     )
 
 
+@query(
+    "u4_child_order",
+    f"""{star_rows()}
+SELECT CASE tabela_sidra_id WHEN 'T2' THEN 1 WHEN 'T3' THEN 2 ELSE 3 END AS ordinal,
+       CASE tabela_sidra_id WHEN 'T1' THEN 'nations' WHEN 'T2' THEN 'balances' ELSE 'customers' END AS source,
+       count(*) AS n
+FROM flat GROUP BY tabela_sidra_id""",
+)
+def u4(spark, sf):
+    """Children are taken by name, not in the order they are given in."""
+    star = inputs.star(spark, sf)
+    given = {name: flat_output(star, [cube]) for name, cube in (("nations", "T1"), ("customers", "T3"), ("balances", "T2"))}
+    return union_outputs(given, ordinal=True).groupBy("ordinal", "source").agg(F.count(F.lit(1)).alias("n"))
+
+
 _SUMMARY = """
 SELECT tabela_sidra_id AS tabela, ano, nc AS nivel, d1c AS localidade_id, d2n AS variavel,
        mn AS unidade, d4n AS categoria, count(num) AS n,
@@ -324,8 +340,10 @@ FROM facts f LEFT JOIN known k ON k.id = f.localidade_id
 WHERE k.id IS NULL GROUP BY f.localidade_id""",
 )
 def q4(spark, sf):
-    described = places_from_metadata(inputs.metadata(spark, sf))
-    return orphan_facts(inputs.star(spark, sf)._replace(localidade=described))
+    star = inputs.star(spark, sf)
+    orphans = orphan_facts(star._replace(localidade=_described_places(spark, sf, star)))
+    keys = star.localidade.selectExpr("CAST(id AS STRING) AS id", f"{PLACE_KEY} AS key")
+    return orphans.join(keys, "id", "left").select("foreign_key", F.col("key").alias("id"), "n_facts")
 
 
 @query(
@@ -373,18 +391,32 @@ def q6(spark, sf):
     )
 
 
+#: Rows of each star table that the checks below break.
+_PLANTED = {
+    "tabela_sidra": "id LIKE 'S%'", "localidade": "nc = 'N3'", "periodo": "frequencia = 'anual'",
+    "dimensao": "mc = '30'", "dados": "tabela_sidra_id = 'T2'",
+}
+_PLANTED_ORACLE = f"""
+SELECT 'tabela_sidra' AS table_name, CAST(count(*) AS INT) AS n FROM meta_cubes WHERE id LIKE 'S%'
+UNION ALL SELECT 'localidade', CAST(count(*) AS INT) FROM (
+  SELECT DISTINCT id FROM meta_places WHERE {level('nivel')} = 'N3') AS l
+UNION ALL SELECT 'periodo', CAST(count(*) AS INT) FROM periods WHERE frequencia = 'anual'
+UNION ALL SELECT 'dimensao', CAST(count(DISTINCT {DIM_ID}) AS INT) FROM old_batch_cells
+  WHERE mc = '30' AND d2c IS NOT NULL"""
+
+
 @query(
     "q6_star_duplicates",
-    batch_inputs("old_batch", "new_batch") + "," + after("latest")
+    batch_inputs("old_batch", "new_batch").replace("WITH ", "WITH " + inputs.with_inputs("meta_places") + ",", 1)
+    + "," + after("latest") + _PLANTED_ORACLE
     + """
-SELECT 'dados' AS table_name, CAST(count(*) AS INT) AS n FROM (
-  SELECT tabela_sidra_id, localidade_id, dimensao_id, periodo_id, modificacao
-  FROM after GROUP BY ALL HAVING count(*) > 1) AS d HAVING count(*) > 0""",
+UNION ALL SELECT 'dados', CAST(count(*) AS INT) FROM after WHERE tabela_sidra_id = 'T2'""",
 )
 def q6_star(spark, sf):
-    """Unique keys of all star tables after both publications: none broken."""
-    load = load_batch(inputs.star(spark, sf), inputs.source(spark, sf, "new_batch"))
-    return _counts(star_duplicates(load.star))
+    """Some rows of every table occur twice: these and no others are found."""
+    star = load_batch(inputs.star(spark, sf), inputs.source(spark, sf, "new_batch")).star
+    broken = Star(*(df.unionByName(df.filter(_PLANTED[name])) for name, df in star._asdict().items()))
+    return _counts(star_duplicates(broken))
 
 
 def _counts(found):
@@ -420,14 +452,24 @@ def q7(spark, sf):
     return missing_values(rows, ["D2C", "D4C", "V"])
 
 
+#: A required column of each table, emptied where the rows are planted.
+_EMPTIED = {"tabela_sidra": "nome", "localidade": "nn", "periodo": "codigo", "dimensao": "d2n", "dados": "v"}
+
+
 @query(
     "q7_star_required",
-    batch_inputs("old_batch")
+    batch_inputs("old_batch").replace("WITH ", "WITH " + inputs.with_inputs("meta_places") + ",", 1)
+    + _PLANTED_ORACLE
     + """
-SELECT 'dados' AS table_name, CAST(count(*) AS INT) AS n FROM facts
-WHERE localidade_id IS NULL OR dimensao_id IS NULL OR periodo_id IS NULL OR v IS NULL
-HAVING count(*) > 0""",
+UNION ALL SELECT 'dados', CAST(count(*) AS INT) FROM facts WHERE tabela_sidra_id = 'T2'""",
 )
 def q7_star(spark, sf):
+    """Required columns are emptied in some rows of every table."""
     star: Star = inputs.star(spark, sf)
-    return _counts(star_missing(star))
+    broken = Star(
+        *(
+            df.withColumn(_EMPTIED[name], F.expr(f"CASE WHEN NOT coalesce({_PLANTED[name]}, false) THEN {_EMPTIED[name]} END"))
+            for name, df in star._asdict().items()
+        )
+    )
+    return _counts(star_missing(broken))

@@ -41,16 +41,18 @@ from cubestar.operators.lookups import (
     table_periodicity,
 )
 from cubestar.operators.outputs import join_star
+from cubestar.operators.surrogates import KEYS, PLACE_KEY, with_content_keys
 from cubestar.plans.load import (
     load_batch,
     load_documents,
-    load_into,
     load_metadata,
     save_metadata,
 )
-from cubestar.schema import DIMENSION_KEY, empty_star
+from cubestar.schema import DIMENSION_KEY, MEMBER_TABLES, empty_star
+from cubestar.sources.documents import observation_documents
 from cubestar.sources.star_tables import create_star, read_star
 from cubestar.sources.workdir import new_path
+from cubestar.streaming.ingest import ingest_documents
 
 _CELL = "tabela_sidra_id, localidade_id, dimensao_id, periodo_id"
 _KEYS = ", ".join(DIMENSION_KEY)
@@ -65,8 +67,9 @@ SELECT nc, d1c, {PLACE_ID} AS localidade_id FROM places
 WHERE (nc, d1c) IN (SELECT nc, d1c FROM balance_obs_cells)""",
 )
 def j1(spark, sf):
+    star = inputs.star(spark, sf)
     keys = distinct_places(inputs.source(spark, sf, "balance_obs"))
-    return place_lookup(inputs.star(spark, sf).localidade, keys)
+    return with_content_keys(star, place_lookup(star.localidade, keys))
 
 
 @query(
@@ -78,7 +81,8 @@ WHERE d2c IN (SELECT d2c FROM old_batch_cells WHERE tabela_sidra_id = 'T3')""",
 )
 def j2(spark, sf):
     fine = _old(spark, sf).filter("tabela_sidra_id = 'T3'")
-    return dimension_lookup(inputs.star(spark, sf).dimensao, distinct_dimensions(fine))
+    star = inputs.star(spark, sf)
+    return with_content_keys(star, dimension_lookup(star.dimensao, distinct_dimensions(fine)))
 
 
 @query(
@@ -90,10 +94,9 @@ SELECT codigo, CASE WHEN frequencia = 'semestral' THEN concat(codigo, '|semestre
 FROM periods WHERE codigo IN (SELECT D3C FROM old_batch WHERE V NOT IN ('...', '-'))""",
 )
 def j3(spark, sf):
-    lookup = period_lookup(
-        inputs.star(spark, sf).periodo, distinct_period_codes(_old(spark, sf))
-    )
-    return lookup.withColumn("literals", F.array_join("literals", "|"))
+    star = inputs.star(spark, sf)
+    lookup = period_lookup(star.periodo, distinct_period_codes(_old(spark, sf)))
+    return with_content_keys(star, lookup.withColumn("literals", F.array_join("literals", "|")))
 
 
 @query(
@@ -106,7 +109,34 @@ GROUP BY codigo""",
 )
 def j4(spark, sf):
     codes = distinct_period_codes(_old(spark, sf))
-    return period_by_code(inputs.star(spark, sf).periodo, codes=codes)
+    star = inputs.star(spark, sf)
+    return with_content_keys(star, period_by_code(star.periodo, codes=codes))
+
+
+@query(
+    "j4_ambiguous_in_report",
+    batch_inputs("old_batch")
+    + """,
+allowed(grupo, frequencia) AS (VALUES ('mensal', 'mensal'), ('mensal', 'semestral'), ('anual', 'anual')),
+hits AS (
+  SELECT a.grupo, p.codigo, count(*) AS hits FROM periods p JOIN allowed a ON a.frequencia = p.frequencia
+  GROUP BY ALL)
+SELECT c.tabela_sidra_id, count(*) FILTER (c.d2c IS NOT NULL AND h.hits IS NOT NULL) AS staged,
+       count(*) FILTER (c.d2c IS NOT NULL AND h.hits IS NULL) AS missing_periods,
+       count(*) FILTER (c.d2c IS NOT NULL AND h.hits > 1) AS ambiguous_periods
+FROM old_batch_cells c JOIN meta_cubes m ON m.id = c.tabela_sidra_id
+LEFT JOIN hits h ON h.grupo = m.frequencia AND h.codigo = c.codigo
+GROUP BY c.tabela_sidra_id""",
+)
+def j4_ambiguous(spark, sf):
+    """Monthly cubes may use half-years too: some of their codes then have two periods."""
+    pairs = spark.createDataFrame(
+        [("mensal", "mensal"), ("mensal", "semestral"), ("anual", "anual")],
+        "periodicidade string, frequencia string",
+    )
+    described = load_metadata(empty_star(spark), inputs.metadata(spark, sf))
+    report = load_batch(described, inputs.source(spark, sf, "old_batch"), pairs).report
+    return report.select("tabela_sidra_id", "staged", "missing_periods", "ambiguous_periods")
 
 
 @query(
@@ -119,7 +149,8 @@ SELECT grupo, codigo, min(id) AS periodo_id, count(*) AS hits FROM (
 GROUP BY grupo, codigo""",
 )
 def j4_group(spark, sf):
-    return period_by_group(inputs.star(spark, sf).periodo)
+    star = inputs.star(spark, sf)
+    return with_content_keys(star, period_by_group(star.periodo))
 
 
 _RESOLVED_COLUMNS = f"{_CELL}, codigo, CAST(modificacao AS VARCHAR) AS modificacao, v"
@@ -131,7 +162,10 @@ _RESOLVED_COLUMNS = f"{_CELL}, codigo, CAST(modificacao AS VARCHAR) AS modificac
     + f"\nSELECT {_RESOLVED_COLUMNS}, TRUE AS ativo, reject_reason FROM old_batch_resolved",
 )
 def j5_load(spark, sf):
-    return _resolved(spark, sf, "old_batch").drop("file_path")
+    told = {"localidade_key": "localidade_id", "dimensao_key": "dimensao_id"}
+    rows = _resolved(spark, sf, "old_batch").drop("file_path", "period_hits")
+    periods = inputs.star(spark, sf)._replace(localidade=None, dimensao=None)
+    return with_content_keys(periods, rows).withColumnsRenamed(told)
 
 
 @query(
@@ -148,10 +182,18 @@ FROM old_batch_resolved r LEFT JOIN known_ids k ON k.id = r.localidade_id""",
 def j5(spark, sf):
     star = inputs.star(spark, sf)
     # Only described places are known here, so customers are rejected.
-    places = places_from_metadata(inputs.metadata(spark, sf))
-    return resolve_cells(
+    places = _described_places(spark, sf, star)
+    rows = resolve_cells(
         _old(spark, sf), places, star.dimensao, star.periodo, star.tabela_sidra
-    ).drop("file_path")
+    ).drop("file_path", "period_hits")
+    return with_content_keys(star, rows)
+
+
+def _described_places(spark, sf, star):
+    """Places of the star that the descriptions name."""
+    described = places_from_metadata(inputs.metadata(spark, sf)).select("key")
+    keyed = star.localidade.selectExpr("*", f"{PLACE_KEY} AS key")
+    return keyed.join(described, "key", "left_semi").drop("key")
 
 
 @query(
@@ -188,7 +230,8 @@ SELECT tabela_sidra_id, periodo_id, CAST(max(modificacao) AS VARCHAR) AS max_mod
 FROM new_batch_resolved WHERE reject_reason IS NULL GROUP BY tabela_sidra_id, periodo_id""",
 )
 def a1(spark, sf):
-    return latest_modification(accepted(_resolved(spark, sf, "new_batch")))
+    latest = latest_modification(accepted(_resolved(spark, sf, "new_batch")))
+    return with_content_keys(inputs.star(spark, sf), latest)
 
 
 _LATEST = """
@@ -209,7 +252,8 @@ FROM facts f LEFT JOIN latest l
 )
 def a2(spark, sf):
     latest = latest_modification(accepted(_resolved(spark, sf, "new_batch")))
-    return deactivate_superseded(inputs.star(spark, sf).dados, latest)
+    star = inputs.star(spark, sf)
+    return with_content_keys(star, deactivate_superseded(star.dados, latest))
 
 
 def after(revisions: str) -> str:
@@ -256,7 +300,7 @@ _BOTH = batch_inputs("old_batch", "new_batch")
 @query("t10_load_latest", _BOTH + "," + after("latest") + _AFTER_ROWS)
 def t10_latest(spark, sf):
     load = load_batch(inputs.star(spark, sf), inputs.source(spark, sf, "new_batch"))
-    return load.star.dados
+    return with_content_keys(load.star, load.star.dados)
 
 
 @query("t10_load_keep_first", _BOTH + "," + after("keep_first") + _AFTER_ROWS)
@@ -265,14 +309,15 @@ def t10_keep_first(spark, sf):
         inputs.star(spark, sf), inputs.source(spark, sf, "new_batch"),
         revisions="keep_first",
     )
-    return load.star.dados
+    return with_content_keys(load.star, load.star.dados)
 
 
 @query("t10_same_batch_twice", _BOTH + "," + after("latest") + _AFTER_ROWS)
 def t10_twice(spark, sf):
     batch = inputs.source(spark, sf, "new_batch")
     once = load_batch(inputs.star(spark, sf), batch)
-    return load_batch(once.star, batch).star.dados
+    twice = load_batch(once.star, batch).star
+    return with_content_keys(twice, twice.dados)
 
 
 @query(
@@ -312,12 +357,26 @@ def t10_undated(spark, sf):
 
 @query("t10_published", _BOTH + "," + after("latest") + _AFTER_ROWS)
 def t10_published(spark, sf):
-    path = new_path(spark, "published")
-    create_star(spark, path)
-    save_metadata(spark, path, inputs.metadata(spark, sf))
-    load_into(spark, path, inputs.source(spark, sf, "old_batch"))
-    load_into(spark, path, inputs.source(spark, sf, "new_batch"))
-    return read_star(spark, path).dados
+    star = read_star(spark, inputs.published_path(spark, sf))
+    return with_content_keys(star, star.dados)
+
+
+@query(
+    "t1_refreshed_output",
+    _BOTH + "," + after("latest")
+    + """
+SELECT a.tabela_sidra_id AS cube, p.codigo AS periodo, count(*) AS n,
+       count(*) FILTER (a.v = '999') AS n_revised, count(DISTINCT a.localidade_id) AS n_places
+FROM after a JOIN periods p ON p.id = a.periodo_id WHERE a.ativo GROUP BY ALL""",
+)
+def t1_refreshed(spark, sf):
+    """An output of the first publication whose touched parts were built again."""
+    _, schema = inputs.published_names(inputs.published_path(spark, sf))
+    place = F.struct("nivel", "localidade_id")
+    return spark.table(f"{schema}.cells").groupBy("cube", "periodo").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("v") == "999").alias("n_revised"),
+        F.count_distinct(place).alias("n_places"),
+    )
 
 
 _DOCUMENT_ROWS = """
@@ -354,13 +413,40 @@ def t10_documents(spark, sf):
     create_star(spark, path)
     save_metadata(spark, path, inputs.metadata(spark, sf))
     load_documents(spark, path, inputs.documents(spark, sf))
-    return read_star(spark, path).dados
+    star = read_star(spark, path)
+    return with_content_keys(star, star.dados)
+
+
+@query(
+    "t10_streamed_documents",
+    _BOTH + "," + _DOCUMENT_ROWS
+    + """
+SELECT k.tabela_sidra_id, k.localidade_id, k.dimensao_id, k.periodo_id,
+       CAST(k.modificacao AS VARCHAR) AS modificacao, k.modificacao = n.m AS ativo, k.v
+FROM kept k JOIN newest n
+  ON n.tabela_sidra_id = k.tabela_sidra_id AND n.periodo_id = k.periodo_id""",
+)
+def t10_streamed(spark, sf):
+    """The same documents in two landings, each taken up by a stream that then stops."""
+    path, landing = new_path(spark, "streamed"), new_path(spark, "landings")
+    create_star(spark, path)
+    save_metadata(spark, path, inputs.metadata(spark, sf))
+    landed = spark.read.schema("value STRING, document STRING").text(inputs.landing(spark, sf), wholetext=True)
+    first = F.col("document").contains("@2024-01-01")
+    for rows in (landed.filter(first), landed.filter(~first)):
+        rows.write.mode("append").partitionBy("document").text(landing)
+        stream = spark.readStream.schema("value STRING, document STRING").option("wholetext", "true").text(landing)
+        docs = observation_documents(stream.select(inputs.landing_path(), "value"))
+        ingest_documents(docs, path, f"{path}-checkpoint").awaitTermination()
+    star = read_star(spark, path)
+    return with_content_keys(star, star.dados)
 
 
 def _report(revisions: str) -> str:
     return f"""{_BOTH},{after(revisions)}
 SELECT r.tabela_sidra_id, r.staged, a.inserted, a.deactivated, 0 AS missing_places,
-       r.missing_dimensions, r.missing_periods, 0 AS missing_modifications
+       r.missing_dimensions, r.missing_periods, 0 AS missing_modifications,
+       0 AS ambiguous_periods
 FROM (
   SELECT tabela_sidra_id, count(*) FILTER (reject_reason IS NULL) AS staged,
          count(*) FILTER (reject_reason = 'dimensao') AS missing_dimensions,
@@ -396,7 +482,7 @@ SELECT tabela_sidra_id, count(*) FILTER (reject_reason IS NULL) AS staged,
        0 AS missing_places,
        count(*) FILTER (reject_reason = 'dimensao') AS missing_dimensions,
        count(*) FILTER (reject_reason = 'periodo') AS missing_periods,
-       0 AS missing_modifications
+       0 AS missing_modifications, 0 AS ambiguous_periods
 FROM old_batch_resolved GROUP BY tabela_sidra_id""",
 )
 def a3_first(spark, sf):
@@ -435,6 +521,68 @@ def j5_agreement(spark, sf):
     )
 
 
+_MEMBER_COUNTS = f"""
+SELECT 'localidade' AS table_name, count(*) AS n FROM places
+UNION ALL SELECT 'dimensao', count(DISTINCT {DIM_ID}) FROM old_batch_cells WHERE d2c IS NOT NULL
+UNION ALL SELECT 'periodo', count(*) FROM periods"""
+
+
+@query(
+    "d8_dense_ids",
+    "WITH " + inputs.with_inputs("old_batch", "meta_periods", "meta_places") + "," + PERIODS + ","
+    + cells("old_batch") + "," + place_rows()
+    + f"\nSELECT table_name, n, 1::BIGINT AS lowest, n AS highest, n AS n_ids FROM ({_MEMBER_COUNTS}) AS c",
+)
+def d8_dense(spark, sf):
+    """Ids of a stored star: as many as rows, from 1 without a gap."""
+    star = inputs.star(spark, sf)
+    parts = [
+        getattr(star, name).agg(
+            F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("n"), F.min("id").alias("lowest"),
+            F.max("id").alias("highest"), F.count_distinct("id").alias("n_ids"),
+        )
+        for name in MEMBER_TABLES
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@query(
+    "d8_ids_kept",
+    "WITH " + inputs.with_inputs("old_batch", "meta_periods", "meta_places") + "," + PERIODS + ","
+    + cells("old_batch") + "," + place_rows()
+    + f""",
+before AS (
+  SELECT 'localidade' AS table_name, count(*) AS n_kept FROM (
+    SELECT nc, d1c FROM old_batch_cells WHERE tabela_sidra_id = 'T1'
+    UNION SELECT nc, d1c FROM meta_place_rows) AS p
+  UNION ALL SELECT 'dimensao', count(DISTINCT {DIM_ID}) FROM old_batch_cells
+  WHERE d2c IS NOT NULL AND tabela_sidra_id = 'T1')
+SELECT c.table_name, n_kept, c.n - n_kept AS n_new, n_kept + 1 AS lowest_new, c.n AS highest_new
+FROM ({_MEMBER_COUNTS}) AS c JOIN before b ON b.table_name = c.table_name""",
+)
+def d8_kept(spark, sf):
+    """One cube, then all of them: members keep their ids, new ones follow without a gap."""
+    batch = inputs.source(spark, sf, "old_batch")
+    described = load_metadata(empty_star(spark), inputs.metadata(spark, sf))
+    star = load_batch(described, batch.filter("tabela_sidra_id = 'T1'")).star
+    grown = load_batch(star, batch).star
+    parts = []
+    for name in ("localidade", "dimensao"):
+        before, after_ = (
+            getattr(s, name).selectExpr(f"id AS {i}", f"{KEYS[name]} AS key") for s, i in ((star, "old"), (grown, "new"))
+        )
+        both = after_.join(before, "key", "full")
+        parts.append(
+            both.agg(
+                F.lit(name).alias("table_name"), F.count_if(F.col("old") == F.col("new")).alias("n_kept"),
+                F.count_if(F.col("old").isNull()).alias("n_new"),
+                F.min(F.when(F.col("old").isNull(), F.col("new"))).alias("lowest_new"),
+                F.max(F.when(F.col("old").isNull(), F.col("new"))).alias("highest_new"),
+            )
+        )
+    return parts[0].unionByName(parts[1])
+
+
 @query(
     "d8_fact_ids",
     batch_inputs("old_batch")
@@ -445,7 +593,8 @@ SELECT md5(concat('v', length(tabela_sidra_id), ':', tabela_sidra_id,
 FROM facts""",
 )
 def d8_facts(spark, sf):
-    return with_fact_id(inputs.star(spark, sf).dados).select("id", "v")
+    star = inputs.star(spark, sf)
+    return with_fact_id(with_content_keys(star, star.dados)).select("id", "v")
 
 
 @query(
@@ -463,7 +612,8 @@ def t11(spark, sf):
     star = load_metadata(empty_star(spark), inputs.metadata(spark, sf))
 
     def rows(kind, df, name):
-        return df.select(F.lit(kind).alias("kind"), "id", F.col(name).alias("name"))
+        key = F.expr(KEYS.get(kind, "id")).alias("id")
+        return df.select(F.lit(kind).alias("kind"), key, F.col(name).alias("name"))
 
     return (
         rows("tabela_sidra", star.tabela_sidra, "nome")

@@ -9,14 +9,16 @@ sources do. One small cube per supplier fills the descriptions.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cubestar.plans.load import load_into, save_metadata
+from cubestar.plans.load import load_batch, load_into, save_load, save_metadata
+from cubestar.plans.materialize import materialize
+from cubestar.plans.refresh import refresh_output, touched_pairs
 from cubestar.schema import METADATA, Star
 from cubestar.sources.documents import observation_documents
 from cubestar.sources.metadata import read_metadata
-from cubestar.sources.star_tables import create_star, read_star
+from cubestar.sources.star_tables import create_star, read_star, refresh_star, register_star
 from cubestar.sources.workdir import new_path
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
@@ -268,7 +270,7 @@ _HEADER = {
 REQUEST_TAIL = "_f-A_n3-all_v-1,2_c81-_c87-@"
 
 # T1 is asked for whole, the larger cubes by ranges of so many places.
-PLACES_PER_DOCUMENT = 2_000
+PLACES_PER_DOCUMENT = 1_000
 DOCUMENT_PART = (
     "CASE WHEN tabela_sidra_id = 'T1' THEN 0"
     f" ELSE CAST(floor(CAST(trim(D1C) AS DOUBLE) / {PLACES_PER_DOCUMENT}) AS BIGINT) END"
@@ -287,8 +289,11 @@ def _write_documents(spark: SparkSession, sf_dir: str, path: str) -> None:
         source(spark, sf_dir, "new_batch")
     )
     part = F.expr(DOCUMENT_PART).alias("part")
-    tail = F.when(F.col("tabela_sidra_id") == "T1", F.lit(REQUEST_TAIL)).otherwise(
-        F.concat(F.lit("_f-A_n6-"), F.col("part").cast("string"), F.lit("_v-all@"))
+    first = F.col("part") * PLACES_PER_DOCUMENT
+    places = F.concat_ws(":", first.cast("string"), (first + PLACES_PER_DOCUMENT - 1).cast("string"))
+    cube = F.col("tabela_sidra_id")
+    tail = F.when(cube == "T1", F.lit(REQUEST_TAIL)).otherwise(
+        F.concat(F.lit("_f-A_n6-"), places, F.when(cube == "T3", F.lit("_v-all_c41-_c81-@")).otherwise(F.lit("_v-all@")))
     )
     docs = (
         rows.groupBy("tabela_sidra_id", "D3C", "modificacao", part)
@@ -309,19 +314,33 @@ def _write_documents(spark: SparkSession, sf_dir: str, path: str) -> None:
     docs.unionByName(no_rows).write.partitionBy("document").text(path)
 
 
-def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Landed documents of all cubes: (file_path, value)."""
-    path = _once(
+def landing(spark: SparkSession, sf_dir: str) -> str:
+    return _once(
         spark, sf_dir, "documents", lambda p: _write_documents(spark, sf_dir, p)
     )
+
+
+def landing_path() -> Column:
+    """The path a landed document would have, from the name that its folder keeps."""
+    return F.concat(F.regexp_extract("document", "^t-[^_]+", 0), F.lit("/"), "document").alias("file_path")
+
+
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed documents of all cubes: (file_path, value)."""
     landed = spark.read.schema("value STRING, document STRING").text(
-        path, wholetext=True
+        landing(spark, sf_dir), wholetext=True
+    )
+    return observation_documents(landed.select(landing_path(), "value"))
+
+
+def document_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same documents cut at braces: (file_path, block, piece)."""
+    landed = spark.read.schema("value STRING, document STRING").option("lineSep", "}").text(
+        landing(spark, sf_dir)
     )
     return observation_documents(
         landed.select(
-            F.concat(F.regexp_extract("document", "^t-[^_]+", 0), F.lit("/"), "document")
-            .alias("file_path"),
-            "value",
+            landing_path(), F.col("_metadata.file_block_start").alias("block"), F.col("value").alias("piece")
         )
     )
 
@@ -429,3 +448,38 @@ def star_path(spark: SparkSession, sf_dir: str) -> str:
 
 def star(spark: SparkSession, sf_dir: str) -> Star:
     return read_star(spark, star_path(spark, sf_dir))
+
+
+#: An output with a folder for each cube and period, of which a load touches some.
+CELLS_OUTPUT = {
+    "name": "cells", "strategy": "replace", "partitioned_by": ["cube", "periodo_id"],
+    "sql": "SELECT d.tabela_sidra_id AS cube, d.periodo_id, p.codigo AS periodo, l.nc AS nivel,"
+    " l.d1c AS localidade_id, dim.d4n AS categoria, dim.d2n AS variavel, d.v"
+    " FROM dados d JOIN periodo p ON d.periodo_id = p.id JOIN dimensao dim ON d.dimensao_id = dim.id"
+    " JOIN localidade l ON d.localidade_id = l.id WHERE d.ativo",
+}
+
+
+def published_path(spark: SparkSession, sf_dir: str) -> str:
+    """A star of its own after both publications, with an output refreshed in between."""
+
+    def write(path: str) -> None:
+        create_star(spark, path)
+        save_metadata(spark, path, metadata(spark, sf_dir))
+        load_into(spark, path, source(spark, sf_dir, "old_batch"))
+        database, schema = published_names(path)
+        register_star(spark, path, database)
+        output = {**CELLS_OUTPUT, "schema": schema}
+        materialize(spark, [output], database, f"{path}-outputs")
+        load = load_batch(read_star(spark, path), source(spark, sf_dir, "new_batch"))
+        save_load(load, path)
+        refresh_star(spark, database, path)
+        refresh_output(spark, output, database, touched_pairs(load.merged))
+
+    return _once(spark, sf_dir, "published", write)
+
+
+def published_names(path: str) -> tuple[str, str]:
+    """Database of the published star's tables and schema of its output."""
+    tail = path.rsplit("-", 1)[-1]
+    return f"published_{tail}", f"refreshed_{tail}"

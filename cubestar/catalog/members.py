@@ -36,10 +36,13 @@ from cubestar.operators.expand import (
     plan_periods,
     unnest_requests,
 )
-from cubestar.operators.facts import accepted, batch_cells, new_cells
+from cubestar.operators.facts import batch_cells, new_cells
 from cubestar.operators.lookups import resolve_by_content
+from cubestar.operators.surrogates import PERIOD_KEY, PLACE_KEY, with_content_keys
 from cubestar.operators.units import enrich_units
-from cubestar.schema import DIMENSION_COLUMNS, DIMENSION_KEY
+from cubestar.plans.load import insert_members
+from cubestar.schema import DIMENSION_COLUMNS, DIMENSION_KEY, empty_star
+from cubestar.sources.workdir import stage
 
 _META = ("meta_cubes", "meta_variables", "meta_categories")
 _KEYS = ", ".join(DIMENSION_KEY)
@@ -253,7 +256,7 @@ SELECT {PLACE_ID} AS id, nc, nn, d1c, d1n FROM (
 WHERE rn = 1""",
 )
 def d1(spark, sf):
-    return distinct_places(_old(spark, sf))
+    return distinct_places(_old(spark, sf)).withColumnRenamed("key", "id")
 
 
 @query(
@@ -267,7 +270,7 @@ SELECT {DIM_ID} AS id, {DIMS} FROM (
 WHERE rn = 1""",
 )
 def d2(spark, sf):
-    return distinct_dimensions(_old(spark, sf))
+    return distinct_dimensions(_old(spark, sf)).withColumnRenamed("key", "id")
 
 
 @query(
@@ -285,8 +288,10 @@ def d3(spark, sf):
     + "," + place_rows() + f"\nSELECT {PLACE_ID} AS id, nc, nn, d1c, d1n FROM places",
 )
 def d4(spark, sf):
-    described = places_from_metadata(inputs.metadata(spark, sf))
-    return insert_absent(described, distinct_places(_old(spark, sf)))
+    none = empty_star(spark).localidade
+    described = insert_absent(none, places_from_metadata(inputs.metadata(spark, sf)), PLACE_KEY)
+    places = insert_absent(described, distinct_places(_old(spark, sf)), PLACE_KEY)
+    return places.selectExpr(f"{PLACE_KEY} AS id", "nc", "nn", "d1c", "d1n")
 
 
 _PERIOD_OUT = "id, codigo, frequencia, ano, semestre, trimestre, mes"
@@ -302,12 +307,12 @@ FROM periods""",
 )
 def d5(spark, sf):
     periods = periods_from_metadata(inputs.metadata(spark, sf))
-    stored = periods.filter("frequencia <> 'anual'")
+    stored = upsert_periods(empty_star(spark).periodo, periods.filter("frequencia <> 'anual'"))
     quarter = F.ceil(F.col("mes") / 3).cast("smallint")
     renewed = periods.filter("frequencia <> 'semestral'").withColumn("trimestre", quarter)
-    merged = upsert_periods(stored, renewed.select(*stored.columns))
+    merged = upsert_periods(stored, renewed)
     return merged.select(
-        "id", "codigo", "frequencia", "ano",
+        F.expr(PERIOD_KEY).alias("id"), "codigo", "frequencia", "ano",
         *(F.col(c).cast("int").alias(c) for c in ("semestre", "trimestre", "mes")),
     )
 
@@ -337,10 +342,21 @@ def d6(spark, sf):
     ).drop("metadados")
 
 
-def _resolved(spark, sf, batch):
+def _resolved(spark, sf, batch, keep_names=False):
     star = inputs.star(spark, sf)
     rows = null_sentinels(inputs.source(spark, sf, batch))
-    return resolve_by_content(rows, star.periodo, star.tabela_sidra)
+    return resolve_by_content(rows, star.periodo, star.tabela_sidra, keep_names=keep_names)
+
+
+def _cells(spark, sf, batch):
+    """The star with the members of a batch, and its accepted cells with ids."""
+    star = inputs.star(spark, sf)
+    rows = stage(_resolved(spark, sf, batch, keep_names=True), "resolved")
+    places, dimensions, cells_ = insert_members(star, rows)
+    grown = star._replace(
+        localidade=star.localidade.unionByName(places), dimensao=star.dimensao.unionByName(dimensions)
+    )
+    return grown, cells_
 
 
 _CELL = "tabela_sidra_id, localidade_id, dimensao_id, periodo_id"
@@ -357,7 +373,8 @@ SELECT {_CELL}, CAST(modificacao AS VARCHAR) AS modificacao, TRUE AS ativo, v FR
 WHERE rn = 1""",
 )
 def d7_batch(spark, sf):
-    return batch_cells(accepted(_resolved(spark, sf, "new_batch")), "keep_first")
+    star, cells_ = _cells(spark, sf, "new_batch")
+    return with_content_keys(star, batch_cells(cells_, "keep_first"))
 
 
 _NEW_CELLS = """
@@ -378,8 +395,8 @@ WHERE n.rn = 1 AND f.v IS NULL"""
     batch_inputs("old_batch", "new_batch") + _NEW_CELLS.format(keys=_CELL, more=""),
 )
 def d7(spark, sf):
-    cells_ = accepted(_resolved(spark, sf, "new_batch"))
-    return new_cells(inputs.star(spark, sf).dados, cells_, "keep_first")
+    star, cells_ = _cells(spark, sf, "new_batch")
+    return with_content_keys(star, new_cells(star.dados, cells_, "keep_first"))
 
 
 @query(
@@ -390,8 +407,8 @@ def d7(spark, sf):
     ),
 )
 def d7_latest(spark, sf):
-    cells_ = accepted(_resolved(spark, sf, "new_batch"))
-    return new_cells(inputs.star(spark, sf).dados, cells_, "latest")
+    star, cells_ = _cells(spark, sf, "new_batch")
+    return with_content_keys(star, new_cells(star.dados, cells_, "latest"))
 
 
 @query(
@@ -409,7 +426,7 @@ def d8(spark, sf):
     old = _old(spark, sf)
 
     def ids(kind, df):
-        return df.select(F.lit(kind).alias("kind"), "id")
+        return df.select(F.lit(kind).alias("kind"), F.col("key").alias("id"))
 
     return (
         ids("dimensao", distinct_dimensions(old))

@@ -38,9 +38,10 @@ from cubestar.sources.documents import (
     observations_from_documents,
     request_modification,
     request_table,
+    with_descriptor,
 )
 from cubestar.sources.export import export_members
-from cubestar.sources.landing import names_of, split_plan, with_request_key
+from cubestar.sources.landing import missing_places, names_of, plan_coverage, with_request_key
 from cubestar.sources.metadata import (
     catalogue_rows,
     category_rows,
@@ -49,6 +50,7 @@ from cubestar.sources.metadata import (
     place_rows,
     variable_rows,
 )
+from cubestar.sources.split_documents import rows_of_records, split_records
 from cubestar.sources.star_tables import register_star
 from cubestar.sources.workdir import new_path
 
@@ -75,6 +77,23 @@ def s1(spark, sf):
     )
 
 
+@query(
+    "s1_split_documents",
+    from_inputs(
+        ("old_batch", "new_batch"),
+        f"SELECT tabela_sidra_id, CAST(modificacao AS VARCHAR) AS modificacao, {_NULLED}"
+        " FROM both_batches",
+        _LANDED_ROWS,
+    ),
+)
+def s1_split(spark, sf):
+    """The same rows from documents that are read in parts."""
+    records = split_records(inputs.document_pieces(spark, sf))
+    return with_descriptor(rows_of_records(records)).select(
+        "tabela_sidra_id", "modificacao", *RAW
+    )
+
+
 @query(
     "s2_sentinels_to_null",
     from_inputs(("cells",), f"SELECT tabela_sidra_id, {_NULLED} FROM cells"),
@@ -194,34 +213,86 @@ def s5(spark, sf):
     return with_request_key(plan).select("folder", "name")
 
 
+#: Ranges of places that are asked for of the cubes T2 and T3: across documents, up to
+#: a place behind the last of small tables, and far behind them.
+_ASKED = ((1, 500), (400, 1199), (0, 40_999), (900_000, 900_999))
+_ASKED_SQL = ", ".join(f"({lo}, {hi})" for lo, hi in _ASKED)
+_DOCUMENT = inputs.PLACES_PER_DOCUMENT
+
+
+def _planned(spark, sf):
+    """Requests by range for T2 and T3, for whole levels for all other cubes."""
+    described = inputs.metadata(spark, sf)
+    requests = _requests(spark, sf)
+    by_range = F.col("tabela_sidra").isin("T2", "T3")
+    whole = requests.filter(~by_range).withColumns(
+        {
+            "territories": F.create_map(F.lit("3"), F.array().cast("array<string>")),
+            "variables": F.array(F.lit("1"), F.lit("2")),
+        }
+    )
+    asked = F.explode(F.array(*(F.lit(f"{lo}:{hi}") for lo, hi in _ASKED)))
+    ranged = requests.filter(by_range).withColumn("asked", asked)
+    ranged = ranged.withColumn("territories", F.create_map(F.lit("6"), F.array("asked"))).drop("asked")
+    return with_request_key(plan_periods(whole.unionByName(ranged), described))
+
+
 @query(
     "s6_cache_split",
     from_inputs(
         ("old_batch", "new_batch", "meta_periods"),
-        """SELECT p.tabela_sidra_id AS tabela_sidra, p.codigo AS period,
-       CASE WHEN d.D3C IS NOT NULL THEN 'landed' ELSE 'pending' END AS state
+        f"""SELECT p.tabela_sidra_id AS tabela_sidra, p.codigo AS period, a.lo, a.hi,
+       CASE WHEN count(d.part) = 0 THEN 'pending'
+            WHEN a.lo IS NULL OR sum(least(a.hi, d.part * {_DOCUMENT} + {_DOCUMENT - 1})
+                                     - greatest(a.lo, d.part * {_DOCUMENT}) + 1) = a.hi - a.lo + 1 THEN 'landed'
+            ELSE 'partial' END AS state
 FROM meta_periods p
-LEFT JOIN (SELECT DISTINCT D3C, modificacao FROM both_batches WHERE tabela_sidra_id = 'T1') d
-  ON p.tabela_sidra_id = 'T1' AND d.D3C = p.codigo AND d.modificacao = p.modificacao""",
+LEFT JOIN (VALUES {_ASKED_SQL}) a(lo, hi) ON p.tabela_sidra_id IN ('T2', 'T3')
+LEFT JOIN (SELECT DISTINCT tabela_sidra_id, D3C, modificacao, part FROM both_batches) d
+  ON d.tabela_sidra_id = p.tabela_sidra_id AND d.D3C = p.codigo AND d.modificacao = p.modificacao
+     AND (a.lo IS NULL OR d.part BETWEEN a.lo // {_DOCUMENT} AND a.hi // {_DOCUMENT})
+GROUP BY p.tabela_sidra_id, p.codigo, p.modificacao, a.lo, a.hi""",
         _LANDED_ROWS,
     ),
 )
 def s6(spark, sf):
-    empty = F.array().cast("array<string>")
-    requests = _requests(spark, sf).withColumns(
-        {
-            "territories": F.create_map(F.lit("3"), empty),
-            "variables": F.array(F.lit("1"), F.lit("2")),
-        }
-    )
-    plan = with_request_key(plan_periods(requests, inputs.metadata(spark, sf)))
-    landed, pending = split_plan(plan, names_of(inputs.documents(spark, sf)))
-    columns = ["tabela_sidra", F.col("periods")[0].alias("period")]
-    return landed.select(*columns, F.lit("landed").alias("state")).unionByName(
-        pending.select(*columns, F.lit("pending").alias("state"))
+    covered = plan_coverage(_planned(spark, sf), names_of(inputs.documents(spark, sf)))
+    asked = F.split(F.element_at("territories", "6")[0], ":")
+    return covered.select(
+        "tabela_sidra",
+        F.col("periods")[0].alias("period"),
+        F.get(asked, F.lit(0)).cast("int").alias("lo"),
+        F.get(asked, F.lit(1)).cast("int").alias("hi"),
+        "state",
     )
 
 
+@query(
+    "s6_missing_ranges",
+    from_inputs(
+        ("old_batch", "new_batch", "meta_periods"),
+        f"""SELECT p.tabela_sidra_id AS tabela_sidra, p.codigo AS period,
+       sum(least(a.hi, x * {_DOCUMENT} + {_DOCUMENT - 1}) - greatest(a.lo, x * {_DOCUMENT}) + 1)::BIGINT AS places
+FROM meta_periods p
+JOIN (VALUES {_ASKED_SQL}) a(lo, hi) ON p.tabela_sidra_id IN ('T2', 'T3')
+JOIN range(0, 1000) r(x) ON x BETWEEN a.lo // {_DOCUMENT} AND a.hi // {_DOCUMENT}
+LEFT JOIN (SELECT DISTINCT tabela_sidra_id, D3C, modificacao, part FROM both_batches) d
+  ON d.tabela_sidra_id = p.tabela_sidra_id AND d.D3C = p.codigo AND d.modificacao = p.modificacao
+     AND d.part = x
+WHERE d.part IS NULL GROUP BY ALL""",
+        _LANDED_ROWS,
+    ),
+)
+def s6_missing(spark, sf):
+    """How many places of the requests by range are still to be asked for."""
+    plan = _planned(spark, sf)
+    missing = missing_places(plan, names_of(inputs.documents(spark, sf)))
+    period = F.regexp_extract("name", "_p-([0-9]+)_", 1)
+    return missing.groupBy(
+        F.substring_index("folder", "-", -1).alias("tabela_sidra"), period.alias("period")
+    ).agg(F.sum(F.expr("hi - lo + 1")).alias("places"))
+
+
 STAR_JOIN = (
     "FROM dados d JOIN periodo p ON d.periodo_id = p.id"
     " JOIN dimensao dim ON d.dimensao_id = dim.id"

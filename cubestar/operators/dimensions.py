@@ -7,13 +7,12 @@ from pyspark.sql import functions as F
 
 from cubestar.functions.codes import (
     coerce,
-    content_key,
     dimension_key,
     dimension_names,
-    period_key,
     stripped_text,
     with_place_key,
 )
+from cubestar.operators.surrogates import MEMBER_KEY, PERIOD_KEY, PLACE_KEY, give_ids
 from cubestar.schema import (
     DIMENSION_COLUMNS,
     DIMENSION_KEY,
@@ -88,10 +87,6 @@ def _first(
     )
 
 
-PLACE_ID = content_key("nc", "d1c")
-DIMENSION_ID = content_key(*DIMENSION_KEY)
-
-
 def keyed_rows(observations: DataFrame) -> DataFrame:
     """Valued rows with place and member codes, names, period and value."""
     df = with_values(complete_raw(observations))
@@ -114,7 +109,7 @@ def places_of(rows: DataFrame) -> DataFrame:
     """D1 on keyed rows; names are stripped once per place."""
     first = _first(rows, ["nc", "d1c"], ["nn", "d1n"])
     return first.selectExpr(
-        f"{PLACE_ID} AS id",
+        f"{PLACE_KEY} AS key",
         "nc",
         f"{stripped_text('nn')} AS nn",
         "d1c",
@@ -134,7 +129,7 @@ def dimensions_of(rows: DataFrame, keep_unmatchable: bool = False) -> DataFrame:
     values = [c for c in DIMENSION_COLUMNS if c not in DIMENSION_KEY]
     first = _first(rows, list(DIMENSION_KEY), values)
     filled = first.withColumn("d2c", F.coalesce("d2c", F.lit("")))
-    return filled.selectExpr(f"{DIMENSION_ID} AS id", *DIMENSION_COLUMNS)
+    return filled.selectExpr(f"{MEMBER_KEY} AS key", *DIMENSION_COLUMNS)
 
 
 def distinct_dimensions(
@@ -160,14 +155,13 @@ def distinct_period_codes(
     )
 
 
-def new_members(existing: DataFrame, candidates: DataFrame) -> DataFrame:
-    """Candidates whose content key is not there yet."""
-    return candidates.join(existing.select("id"), "id", "left_anti")
-
+def insert_absent(existing: DataFrame, candidates: DataFrame, key: str) -> DataFrame:
+    """An existing row always wins; its names are never refreshed.
 
-def insert_absent(existing: DataFrame, candidates: DataFrame) -> DataFrame:
-    """An existing row always wins; its names are never refreshed."""
-    return existing.unionByName(new_members(existing, candidates))
+    Candidates carry their content key; those that are new get ids.
+    """
+    _, fresh = give_ids(existing, candidates, key)
+    return existing.unionByName(fresh.select(*existing.columns))
 
 
 def places_from_metadata(metadata: DataFrame) -> DataFrame:
@@ -176,27 +170,24 @@ def places_from_metadata(metadata: DataFrame) -> DataFrame:
     first = _first(
         rows, ["nc", "d1c"], ["nn", "d1n"], order=["tabela_sidra_id", "pos"]
     )
-    return first.selectExpr(f"{PLACE_ID} AS id", "nc", "nn", "d1c", "d1n")
+    return first.selectExpr(f"{PLACE_KEY} AS key", "nc", "nn", "d1c", "d1n")
 
 
 def periods_from_metadata(metadata: DataFrame) -> DataFrame:
     """Distinct periods of all cubes; the last cube and position give the attributes."""
-    rows = period_rows(metadata).withColumn(
-        "id", F.expr(period_key("codigo", "literals"))
-    )
+    rows = period_rows(metadata).withColumn("key", F.expr(PERIOD_KEY))
     attributes = ["codigo", "literals", *PERIOD_ATTRIBUTES]
-    last = rows.groupBy("id").agg(
+    last = rows.groupBy("key").agg(
         F.max(F.struct("tabela_sidra_id", "pos", *attributes)).alias("w")
     )
-    return last.select("id", *(f"w.{a}" for a in attributes)).select(
-        *STAR_SCHEMAS["periodo"].fieldNames()
-    )
+    return last.select("key", *(f"w.{a}" for a in attributes))
 
 
 def upsert_periods(existing: DataFrame, candidates: DataFrame) -> DataFrame:
-    """On an equal (code, literals) key all attributes are replaced."""
-    kept = existing.join(candidates.select("id"), "id", "left_anti")
-    return kept.unionByName(candidates)
+    """On an equal (code, literals) key all attributes but the id are replaced."""
+    ids, _ = give_ids(existing, candidates, PERIOD_KEY)
+    written = candidates.join(ids, "key").select(*STAR_SCHEMAS["periodo"].fieldNames())
+    return existing.join(written.select("id"), "id", "left_anti").unionByName(written)
 
 
 def upsert_catalogue(

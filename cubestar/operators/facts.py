@@ -148,7 +148,11 @@ def untouched(stored: DataFrame, latest: DataFrame) -> DataFrame:
 
 
 def load_report(resolved: DataFrame, merged: DataFrame) -> DataFrame:
-    """A3: per cube, what was staged, stored, switched off and left out."""
+    """A3: per cube, what was staged, stored, switched off and left out.
+
+    ``ambiguous_periods`` counts the staged cells whose period code has several
+    periods of the allowed frequencies, of which one was taken.
+    """
     reason = F.col("reject_reason")
     read = resolved.groupBy("tabela_sidra_id").agg(
         F.count_if(reason.isNull()).alias("staged"),
@@ -156,6 +160,7 @@ def load_report(resolved: DataFrame, merged: DataFrame) -> DataFrame:
         F.count_if(reason == "dimensao").alias("missing_dimensions"),
         F.count_if(reason == "periodo").alias("missing_periods"),
         F.count_if(reason == "modificacao").alias("missing_modifications"),
+        F.count_if(reason.isNull() & (F.col("period_hits") > 1)).alias("ambiguous_periods"),
     )
     written = merged.groupBy("tabela_sidra_id").agg(
         F.count_if("inserted").alias("inserted"),
@@ -170,10 +175,14 @@ def load_report(resolved: DataFrame, merged: DataFrame) -> DataFrame:
         "missing_dimensions",
         "missing_periods",
         "missing_modifications",
+        "ambiguous_periods",
     )
 
 
 def with_fact_id(facts: DataFrame) -> DataFrame:
-    """D8 for facts: computed when asked for instead of stored per row."""
+    """D8 for facts: computed when asked for instead of stored per row.
+
+    Ids of members are kept over loads, so this is as well.
+    """
     key = (*CELL_KEY, "CAST(modificacao AS STRING)")
     return facts.withColumn("id", F.expr(content_key(*key)))

@@ -7,12 +7,11 @@ from pyspark.sql import functions as F
 
 from cubestar.functions.codes import coerce
 from cubestar.operators.dimensions import (
-    DIMENSION_ID,
-    PLACE_ID,
     keyed_rows,
     order_columns,
     with_values,
 )
+from cubestar.operators.surrogates import MEMBER_KEY, PERIOD_KEY, PLACE_KEY
 from cubestar.schema import DIMENSION_COLUMNS, DIMENSION_KEY
 from cubestar.sources.workdir import broadcast_if_small
 
@@ -57,9 +56,10 @@ def period_by_code(
 ) -> DataFrame:
     """One id per code among the allowed frequencies, with the hit count.
 
-    No frequencies means no filter. Several hits resolve to the smallest id.
+    No frequencies means no filter. Several hits resolve to the smallest content key,
+    so that the order in which periods were stored plays no part.
     """
-    rows = periodo.select("codigo", "frequencia", "id")
+    rows = periodo.select("codigo", "frequencia", "id", F.expr(PERIOD_KEY).alias("key"))
     if frequencies is not None:
         rows = rows.join(
             frequencies.select("frequencia"), "frequencia", "left_semi"
@@ -67,7 +67,7 @@ def period_by_code(
     if codes is not None:
         rows = rows.join(codes.select("codigo"), "codigo", "left_semi")
     return rows.groupBy("codigo").agg(
-        F.min("id").alias("periodo_id"), F.count(F.lit(1)).alias("hits")
+        F.min_by("id", "key").alias("periodo_id"), F.count(F.lit(1)).alias("hits")
     )
 
 
@@ -87,7 +87,7 @@ def period_by_group(
     where every frequency is allowed. ``frequencies`` lists (periodicidade,
     frequencia) pairs; by default a periodicity allows the equal frequency.
     """
-    codes = periodo.select("codigo", "frequencia", "id")
+    codes = periodo.select("codigo", "frequencia", "id", F.expr(PERIOD_KEY).alias("key"))
     if frequencies is None:
         grouped = codes.filter("frequencia <> ''").withColumn(
             "grupo", F.col("frequencia")
@@ -99,10 +99,10 @@ def period_by_group(
         grouped = codes.join(pairs, "frequencia")
     every = codes.withColumn("grupo", F.lit(""))
     return (
-        grouped.select("grupo", "codigo", "id")
-        .union(every.select("grupo", "codigo", "id"))
+        grouped.select("grupo", "codigo", "id", "key")
+        .union(every.select("grupo", "codigo", "id", "key"))
         .groupBy("grupo", "codigo")
-        .agg(F.min("id").alias("periodo_id"), F.count(F.lit(1)).alias("hits"))
+        .agg(F.min_by("id", "key").alias("periodo_id"), F.count(F.lit(1)).alias("hits"))
     )
 
 
@@ -147,7 +147,7 @@ def _with_period_id(df, periodo, tabela_sidra, frequencies):
         table_group(tabela_sidra, frequencies), count_of=tabela_sidra
     )
     by_code = period_by_group(periodo, frequencies).select(
-        "grupo", "codigo", "periodo_id"
+        "grupo", "codigo", "periodo_id", F.col("hits").alias("period_hits")
     )
     if frequencies is None:
         by_code = broadcast_if_small(by_code, 100_000, count_of=periodo)
@@ -161,10 +161,9 @@ def _with_period_id(df, periodo, tabela_sidra, frequencies):
     )
 
 
-_FIRST_FAILURE = (
-    "CASE "
-    + " ".join(f"WHEN {name}_id IS NULL THEN '{name}'" for name in REJECT_REASONS)
-)
+# What tells place and member of a resolved cell: ids, or content keys before ids exist.
+BY_ID = ("localidade_id", "dimensao_id")
+BY_KEY = ("localidade_key", "dimensao_key")
 
 
 def resolve_cells(
@@ -188,7 +187,7 @@ def resolve_cells(
         *(f"k_{c}" for c in DIMENSION_KEY)
     )
     cells = _with_period_id(cells, periodo, tabela_sidra, frequencies)
-    return _resolved(cells)
+    return _resolved(cells, BY_ID)
 
 
 def resolve_by_content(
@@ -198,36 +197,39 @@ def resolve_by_content(
     frequencies: DataFrame | None = None,
     keep_names: bool = False,
 ) -> DataFrame:
-    """J5 inside a load, where the batch's own members have just been inserted.
+    """J5 inside a load, which inserts the batch's own members.
 
-    Ids are content keys, so place and dimension need no join: the only member
-    a lookup would miss is one with a NULL variable code. ``keep_names`` keeps
-    the codes and names of the members next to the ids.
+    Place and member are told by their content keys, so this needs no join with
+    them: the only member a lookup would miss is one with a NULL variable code.
+    Ids are joined on once the new members have theirs. ``keep_names`` keeps the
+    codes and names of the members next to the keys.
     """
     cells = keyed_rows(observations).selectExpr(
         "*",
-        f"{PLACE_ID} AS localidade_id",
-        f"CASE WHEN d2c IS NOT NULL THEN {DIMENSION_ID} END AS dimensao_id",
+        f"{PLACE_KEY} AS localidade_key",
+        f"CASE WHEN d2c IS NOT NULL THEN {MEMBER_KEY} END AS dimensao_key",
     )
     names = ["nc", "nn", "d1c", "d1n", *DIMENSION_COLUMNS] if keep_names else []
     return _resolved(
-        _with_period_id(cells, periodo, tabela_sidra, frequencies), names
+        _with_period_id(cells, periodo, tabela_sidra, frequencies), BY_KEY, names
     )
 
 
-def _resolved(cells: DataFrame, names: list[str] | None = None) -> DataFrame:
+def _resolved(cells: DataFrame, told_by: tuple[str, str], names: list[str] | None = None) -> DataFrame:
     # A cell without a modification date cannot be ranked; it is counted, not lost.
     dated = "modificacao" in cells.columns
     undated = " WHEN modificacao IS NULL THEN 'modificacao'" if dated else ""
+    checks = zip((*told_by, "periodo_id"), REJECT_REASONS)
+    first_failure = " ".join(f"WHEN {column} IS NULL THEN '{name}'" for column, name in checks)
     return cells.selectExpr(
         "tabela_sidra_id",
-        "localidade_id",
-        "dimensao_id",
+        *told_by,
         "periodo_id",
+        "period_hits",
         "codigo",
         *order_columns(cells),
         "true AS ativo",
         "v",
-        f"{_FIRST_FAILURE}{undated} END AS reject_reason",
+        f"CASE {first_failure}{undated} END AS reject_reason",
         *(names or []),
     )

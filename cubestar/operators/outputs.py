@@ -54,11 +54,20 @@ def ordered(df: DataFrame, *keys: str | Column) -> DataFrame:
     return df.orderBy(*keys)
 
 
-def union_outputs(outputs: dict[str, DataFrame]) -> DataFrame:
-    """Rows of several outputs below each other, with their name."""
-    parts = [
-        df.withColumn("source", F.lit(name)) for name, df in sorted(outputs.items())
-    ]
+def in_order(outputs: dict[str, DataFrame]) -> list[tuple[str, DataFrame]]:
+    """U4: children by name, whatever order they are given in."""
+    return sorted(outputs.items())
+
+
+def union_outputs(outputs: dict[str, DataFrame], ordinal: bool = False) -> DataFrame:
+    """Rows of several outputs below each other, with their name.
+
+    ``ordinal`` adds the child's place in the order of names, from 1.
+    """
+    parts = []
+    for at, (name, df) in enumerate(in_order(outputs), 1):
+        named = df.withColumn("source", F.lit(name))
+        parts.append(named.withColumn("ordinal", F.lit(at)) if ordinal else named)
     return reduce(DataFrame.unionByName, parts)
 
 

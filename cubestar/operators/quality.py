@@ -52,20 +52,30 @@ def star_duplicates(star: Star, revisions: str = "latest") -> dict[str, DataFram
 def orphan_facts(star: Star) -> DataFrame:
     """Q4: per foreign key, ids without a dimension row and how many facts use them.
 
-    Facts are counted per id before the join, so the join sees distinct ids.
+    The facts are scanned once: grouping sets count the uses of every id of every
+    key, and one anti join meets the ids of all dimension tables. Ids come out as text.
     """
-    parts = []
-    for column, table in FOREIGN_KEYS.items():
-        used = (
-            star.dados.groupBy(F.col(column).alias("id"))
-            .agg(F.count(F.lit(1)).alias("n_facts"))
-        )
-        parts.append(
-            used.join(getattr(star, table).select("id"), "id", "left_anti").select(
-                F.lit(column).alias("foreign_key"), "id", "n_facts"
-            )
-        )
-    return reduce(DataFrame.unionByName, parts)
+    columns = [F.col(c) for c in FOREIGN_KEYS]
+    used = star.dados.groupingSets([[c] for c in columns], *columns).agg(
+        F.grouping_id().alias("set"), F.count(F.lit(1)).alias("n_facts")
+    )
+    # The bit of a key is 0 in its own set, the first key's bit is the highest.
+    n = len(FOREIGN_KEYS)
+    whole = (1 << n) - 1
+    name, value = F, F
+    for at, column in enumerate(FOREIGN_KEYS):
+        own = F.col("set") == whole - (1 << (n - 1 - at))
+        name = name.when(own, F.lit(column))
+        value = value.when(own, F.col(column).cast("string"))
+    counted = used.select(name.alias("foreign_key"), value.alias("id"), "n_facts")
+    known = reduce(
+        DataFrame.unionByName,
+        (
+            getattr(star, table).select(F.lit(column).alias("foreign_key"), F.col("id").cast("string").alias("id"))
+            for column, table in FOREIGN_KEYS.items()
+        ),
+    )
+    return counted.join(known, ["foreign_key", "id"], "left_anti")
 
 
 def range_violations(periodo: DataFrame) -> DataFrame:

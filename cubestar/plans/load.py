@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,7 +12,6 @@ from cubestar.operators.dimensions import (
     complete_raw,
     dimensions_of,
     insert_absent,
-    new_members,
     periods_from_metadata,
     places_from_metadata,
     places_of,
@@ -27,12 +27,14 @@ from cubestar.operators.facts import (
     untouched,
 )
 from cubestar.operators.lookups import resolve_by_content
-from cubestar.schema import FACT_COLUMNS, RAW_COLUMNS, Star
+from cubestar.operators.surrogates import MEMBER_KEY, PLACE_KEY, give_ids, with_member_ids
+from cubestar.schema import FACT_COLUMNS, RAW_COLUMNS, STAR_SCHEMAS, Star
 from cubestar.sources.documents import (
     observations_by_descriptor,
     observations_from_documents,
 )
-from cubestar.sources.star_tables import read_star, write_facts
+from cubestar.sources.star_tables import read_star, replace_described, write_facts
+from cubestar.sources.versions import commit, is_committed
 from cubestar.sources.workdir import stage
 
 
@@ -54,10 +56,20 @@ def load_metadata(
     return star._replace(
         tabela_sidra=upsert_catalogue(star.tabela_sidra, metadata, load_date),
         periodo=upsert_periods(star.periodo, periods_from_metadata(metadata)),
-        localidade=insert_absent(star.localidade, places_from_metadata(metadata)),
+        localidade=insert_absent(star.localidade, places_from_metadata(metadata), PLACE_KEY),
     )
 
 
+def insert_members(star: Star, rows: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(new places, new dimension members, accepted cells with ids) of resolved rows.
+
+    ``rows`` is read several times, so it should be a written table.
+    """
+    place_ids, places = give_ids(star.localidade, places_of(rows), PLACE_KEY)
+    dimension_ids, dimensions = give_ids(star.dimensao, dimensions_of(rows), MEMBER_KEY)
+    return places, dimensions, with_member_ids(accepted(rows), place_ids, dimension_ids)
+
+
 def load_batch(
     star: Star,
     observations: DataFrame,
@@ -85,10 +97,8 @@ def load_batch(
         ),
         "resolved",
     )
-    places = new_members(star.localidade, places_of(rows))
-    dimensions = new_members(star.dimensao, dimensions_of(rows))
-    cells = accepted(rows)
-    touched = touched_partitions(cells)
+    places, dimensions, cells = insert_members(star, rows)
+    touched = touched_partitions(accepted(rows))
     merged = stage(merge_touched(star.dados, cells, revisions, touched), "merged")
     kept = untouched(star.dados, touched)
     return Load(
@@ -115,31 +125,34 @@ def save_metadata(
 ) -> Star:
     """T11 on a stored star.
 
-    New places are appended. Catalogue and periods are staged and replaced; as
-    ids are content keys, loading the metadata again restores the same rows
-    should the driver be lost in between.
+    New places are appended, then catalogue and periods change together: they are
+    written as a new version, and one step makes it the current one. A reader sees
+    the tables before or after it. Should the driver be lost on the way, loading the
+    metadata again does what is left, and members keep the ids they got.
     """
     before = read_star(spark, path)
-    loaded = load_metadata(before, metadata, load_date)
-    staged = {
-        name: stage(getattr(loaded, name), name)
-        for name in ("tabela_sidra", "periodo")
+    _, new_places = give_ids(before.localidade, places_from_metadata(metadata), PLACE_KEY)
+    described = {
+        "tabela_sidra": upsert_catalogue(before.tabela_sidra, metadata, load_date),
+        "periodo": upsert_periods(before.periodo, periods_from_metadata(metadata)),
     }
-    new_places = new_members(before.localidade, places_from_metadata(metadata))
-    new_places.write.mode("append").parquet(f"{path}/localidade")
-    for name, df in staged.items():
-        df.write.mode("overwrite").parquet(f"{path}/{name}")
+    append_members(new_places, f"{path}/localidade", "localidade")
+    replace_described(spark, path, described)
     return read_star(spark, path)
 
 
+def append_members(rows: DataFrame, path: str, table: str) -> None:
+    rows.select(*STAR_SCHEMAS[table].fieldNames()).write.mode("append").parquet(path)
+
+
 def save_load(load: Load, path: str) -> None:
     """Publish a load: new members are appended, touched partitions replaced.
 
     Members come first and stay even if the fact step fails. Every step can be
     repeated: after a failure the same batch is simply loaded again.
     """
-    load.new_places.write.mode("append").parquet(f"{path}/localidade")
-    load.new_dimensions.write.mode("append").parquet(f"{path}/dimensao")
+    append_members(load.new_places, f"{path}/localidade", "localidade")
+    append_members(load.new_dimensions, f"{path}/dimensao", "dimensao")
     write_facts(load.merged, f"{path}/dados")
 
 
@@ -150,16 +163,38 @@ def load_into(
     frequencies: DataFrame | None = None,
     revisions: str = "latest",
     keep_flags: bool = False,
+    batch_id: str | None = None,
 ) -> DataFrame:
-    """Load a batch into a stored star; returns the report."""
+    """Load a batch into a stored star; returns the report.
+
+    A batch with an id leaves its report in the star as the last step of its load.
+    Sent again, it is recognised by it: nothing is read, and that report is returned.
+    A load that failed on the way left none and is done again.
+    """
+    if batch_id is not None and (done := report_of(spark, path, batch_id)) is not None:
+        return done
     load = load_batch(
         read_star(spark, path), observations, frequencies, revisions, keep_flags
     )
     report = stage(load.report, "report")
     save_load(load, path)
+    if batch_id is not None:
+        folder = _report_path(path, batch_id)
+        report.write.mode("overwrite").parquet(folder)
+        commit(spark, folder)
     return report
 
 
+def _report_path(path: str, batch_id: str) -> str:
+    return f"{path}/loads/{hashlib.md5(batch_id.encode()).hexdigest()}"
+
+
+def report_of(spark: SparkSession, path: str, batch_id: str) -> DataFrame | None:
+    """The report of a batch that was loaded under this id, if it was."""
+    folder = _report_path(path, batch_id)
+    return spark.read.parquet(folder) if is_committed(spark, folder) else None
+
+
 def load_documents(
     spark: SparkSession, path: str, docs: DataFrame, **options
 ) -> DataFrame:

@@ -9,6 +9,8 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from cubestar.operators.quality import primary_key_violations, unique_violations
+from cubestar.plans.clustering import z_order
+from cubestar.sources.versions import commit, drop_old_versions, new_version
 from cubestar.sources.workdir import stage
 
 REQUIRED_FIELDS = ("name", "schema", "strategy", "sql")
@@ -91,9 +93,14 @@ def create_view(spark: SparkSession, output: Mapping) -> None:
 def replace_table(spark: SparkSession, output: Mapping) -> None:
     """S7 with Q1 to Q3: build beside the target, check, then take its place.
 
-    Readers keep the old table until the new one has passed its checks. The old
-    one is moved aside, not dropped, until the new one has its name, and comes
-    back if that fails.
+    Every build has a folder of its own. Readers keep the old table until the new
+    one has passed its checks; then the table's location is switched in one step of
+    the catalog, so a reader finds the old table or the new one. Only if the columns
+    changed are tables renamed instead: the old one is moved aside, not dropped,
+    until the new one has its name, and comes back if that fails.
+
+    ``partitioned_by`` lists columns whose values get a folder each, which a refresh
+    replaces one by one (``plans.refresh``).
     """
     schema, name = output["schema"], output["name"]
     target = _quoted(schema, name)
@@ -111,10 +118,19 @@ def replace_table(spark: SparkSession, output: Mapping) -> None:
         hashed = [
             f.name for f in df.schema if "map<" not in f.dataType.simpleString()
         ]
-        df = df.repartitionByRange(*first, F.xxhash64(*hashed))
-        df = df.sortWithinPartitions(*first)
+        order = [F.col(f"`{c}`") for c in first]
+        if len(plain) > 1:
+            # Several indexes: one curve through the first columns of all of them, so
+            # that a range on any of them meets few files and row groups.
+            order = [z_order(df, list(dict.fromkeys(i["columns"][0] for i in plain))), *order]
+        df = df.repartitionByRange(*order, F.xxhash64(*hashed))
+        df = df.sortWithinPartitions(*order)
+    versions = _versions_of(spark, schema, name)
+    folder = new_version(spark, versions)
     try:
-        writer = df.write.format("parquet")
+        writer = df.write.format("parquet").option("path", folder)
+        if output.get("partitioned_by"):
+            writer = writer.partitionBy(*output["partitioned_by"])
         for column in {c for i in plain[1:] for c in i["columns"]}:
             # Further indexes: a bloom filter per row group answers equality.
             writer = writer.option(f"parquet.bloom.filter.enabled#{column}", "true")
@@ -125,19 +141,40 @@ def replace_table(spark: SparkSession, output: Mapping) -> None:
                 f"COMMENT ON TABLE {building} IS"
                 + _comment(output).replace(" COMMENT", "", 1)
             )
-        _publish(spark, schema, building, name)
+        commit(spark, folder)
+        _publish(spark, schema, building, name, folder, _comment(output))
+        drop_old_versions(spark, versions)
     except Exception:
         spark.sql(f"DROP TABLE IF EXISTS {building}")
         raise
 
 
-def _publish(spark: SparkSession, schema: str, building: str, name: str) -> None:
+def _versions_of(spark: SparkSession, schema: str, name: str) -> str:
+    """The folder below which the builds of an output lie."""
+    return f"{spark.catalog.getDatabase(schema).locationUri.rstrip('/')}/{name}.builds"
+
+
+def _layout(spark: SparkSession, table: str) -> list[tuple[str, str, bool]]:
+    return [(c.name, c.dataType, c.isPartition) for c in spark.catalog.listColumns(table)]
+
+
+def _publish(
+    spark: SparkSession, schema: str, building: str, name: str, folder: str, comment: str
+) -> None:
     """Give a finished build its name; an earlier table stays readable on failure."""
     target = _quoted(schema, name)
     if not spark.catalog.tableExists(target):
         spark.sql(f"ALTER TABLE {building} RENAME TO {target}")
         return
     kind = "VIEW" if spark.catalog.getTable(target).tableType == "VIEW" else "TABLE"
+    unpartitioned = not any(p for *_, p in _layout(spark, building))
+    if kind == "TABLE" and unpartitioned and _layout(spark, target) == _layout(spark, building):
+        spark.sql(f"ALTER TABLE {target} SET LOCATION '{folder}'")
+        spark.catalog.refreshTable(target)
+        spark.sql(f"COMMENT ON TABLE {target} IS{comment.replace(' COMMENT', '', 1) or ' NULL'}")
+        # The build's own entry goes; its files lie outside the catalog's folders.
+        spark.sql(f"DROP TABLE IF EXISTS {building}")
+        return
     aside = _quoted(schema, f"{name}__old_{uuid.uuid4().hex[:8]}")
     spark.sql(f"ALTER {kind} {target} RENAME TO {aside}")
     try:

@@ -33,6 +33,7 @@ _TYPES = {
     "text": T.StringType(),
     "date": T.DateType(),
     "int": T.IntegerType(),
+    "long": T.LongType(),
     "short": T.ShortType(),
     "flag": T.BooleanType(),
     "texts": T.ArrayType(T.StringType()),
@@ -78,14 +79,16 @@ STAR_SCHEMAS = {
         id="text", nome="text", periodicidade="text",
         ultima_atualizacao="date", metadados="text",
     ),
-    "localidade": _struct(id="text", nc="text", nn="text", d1c="text", d1n="text"),
-    "periodo": _struct(id="text", codigo="text", literals="texts", **_PERIOD),
-    "dimensao": _struct(id="text", **{c: "text" for c in DIMENSION_COLUMNS}),
+    "localidade": _struct(id="long", nc="text", nn="text", d1c="text", d1n="text"),
+    "periodo": _struct(id="long", codigo="text", literals="texts", **_PERIOD),
+    "dimensao": _struct(id="long", **{c: "text" for c in DIMENSION_COLUMNS}),
     "dados": _struct(
-        localidade_id="text", dimensao_id="text", modificacao="date",
-        ativo="flag", v="text", tabela_sidra_id="text", periodo_id="text",
+        localidade_id="long", dimensao_id="long", modificacao="date",
+        ativo="flag", v="text", tabela_sidra_id="text", periodo_id="long",
     ),
 }
+# Tables whose rows have dense ids that facts refer to.
+MEMBER_TABLES = ("localidade", "dimensao", "periodo")
 FACT_COLUMNS = tuple(STAR_SCHEMAS["dados"].fieldNames())
 FACT_PARTITIONS = ("tabela_sidra_id", "periodo_id")
 CELL_KEY = ("tabela_sidra_id", "localidade_id", "dimensao_id", "periodo_id")

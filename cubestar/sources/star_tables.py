@@ -1,6 +1,7 @@
 """The star as parquet folders: one per table, facts partitioned.
 
-Facts lie in one folder per (cube, period), the unit a load replaces. Rows of a
+Catalogue and periods, which a load of descriptions replaces as a whole, lie
+together in a folder per version, so that both change at once. Facts lie in one folder per (cube, period), the unit a load replaces. Rows of a
 folder are sorted by place, so a filter on a place skips row groups.
 """
 
@@ -15,19 +16,43 @@ from cubestar.schema import (
     Star,
     empty_star,
 )
+from cubestar.sources.versions import commit, current, new_version
+
+#: Tables that are replaced as a whole, by version.
+DESCRIBED = ("tabela_sidra", "periodo")
+
+
+def table_paths(spark: SparkSession, path: str) -> dict[str, str]:
+    """Where each table of a stored star lies now."""
+    described = current(spark, f"{path}/described")
+    return {
+        name: f"{described if name in DESCRIBED else path}/{name}" for name in Star._fields
+    }
 
 
 def read_star(spark: SparkSession, path: str) -> Star:
     return Star(
         *(
-            spark.read.schema(STAR_SCHEMAS[name]).parquet(f"{path}/{name}")
-            for name in Star._fields
+            spark.read.schema(STAR_SCHEMAS[name]).parquet(at)
+            for name, at in table_paths(spark, path).items()
         )
     )
 
 
+def replace_described(spark: SparkSession, path: str, tables: dict[str, DataFrame]) -> None:
+    """Write catalogue and periods as a new version and switch to it."""
+    folder = new_version(spark, f"{path}/described")
+    for name in DESCRIBED:
+        tables[name].write.mode("errorifexists").parquet(f"{folder}/{name}")
+    commit(spark, folder)
+
+
 def create_star(spark: SparkSession, path: str) -> Star:
-    for name, df in empty_star(spark)._asdict().items():
+    tables = empty_star(spark)._asdict()
+    replace_described(spark, path, tables)
+    for name, df in tables.items():
+        if name in DESCRIBED:
+            continue
         writer = df.write.mode("errorifexists")
         if name == "dados":
             writer = writer.partitionBy(*FACT_PARTITIONS)
@@ -51,7 +76,7 @@ def write_facts(facts: DataFrame, path: str) -> None:
 def register_star(spark: SparkSession, path: str, database: str) -> None:
     """Make a stored star visible to SQL as tables of a database."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
-    for name in Star._fields:
+    for name, at in table_paths(spark, path).items():
         table = f"`{database}`.`{name}`"
         spark.sql(f"DROP TABLE IF EXISTS {table}")
         columns = ", ".join(
@@ -62,7 +87,7 @@ def register_star(spark: SparkSession, path: str, database: str) -> None:
         )
         spark.sql(
             f"CREATE TABLE {table} ({columns}) USING parquet{layout}"
-            f" LOCATION '{path}/{name}'"
+            f" LOCATION '{at}'"
         )
         if name == "dados":
             spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
@@ -73,8 +98,16 @@ def star_of(spark: SparkSession, database: str) -> Star:
     return Star(*(spark.table(f"`{database}`.`{name}`") for name in Star._fields))
 
 
-def refresh_star(spark: SparkSession, database: str) -> None:
-    """Show a registered star what has been loaded into its folders since."""
+def refresh_star(spark: SparkSession, database: str, path: str | None = None) -> None:
+    """Show a registered star what has been loaded into its folders since.
+
+    With the star's ``path`` its catalogue and periods switch to their current
+    version as well; the switch of a table's location is one step of the catalog.
+    """
     spark.sql(f"ALTER TABLE `{database}`.`dados` RECOVER PARTITIONS")
+    if path is not None:
+        where = table_paths(spark, path)
+        for name in DESCRIBED:
+            spark.sql(f"ALTER TABLE `{database}`.`{name}` SET LOCATION '{where[name]}'")
     for name in Star._fields:
         spark.catalog.refreshTable(f"`{database}`.`{name}`")

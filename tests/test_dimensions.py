@@ -1,4 +1,5 @@
 import datetime as dt
+import hashlib
 
 from pyspark.sql import functions as F
 
@@ -22,6 +23,7 @@ from cubestar.operators.lookups import (
     resolve_by_content,
     resolve_cells,
 )
+from cubestar.operators.surrogates import MEMBER_KEY, PLACE_KEY, with_content_keys
 from cubestar.plans.load import load_metadata
 from cubestar.schema import empty_star
 from helpers import D1, D2, cube, metadata, observations, values
@@ -67,10 +69,18 @@ def test_period_codes(spark):
     assert sorted(values(distinct_period_codes(rows), "codigo")) == [("202001",), ("202003",)]
 
 
+def stored_places(spark, candidates):
+    return insert_absent(empty_star(spark).localidade, candidates, PLACE_KEY)
+
+
+def stored_members(spark, candidates):
+    return insert_absent(empty_star(spark).dimensao, candidates, MEMBER_KEY)
+
+
 def test_existing_member_wins(spark):
-    old = distinct_places(observations(spark, {"D1N": "kept"}))
+    old = stored_places(spark, distinct_places(observations(spark, {"D1N": "kept"})))
     new = distinct_places(observations(spark, {"D1N": "ignored"}, {"D1C": "2", "D1N": "added"}))
-    assert sorted(values(insert_absent(old, new), "d1n")) == [("added",), ("kept",)]
+    assert sorted(values(insert_absent(old, new, PLACE_KEY), "id", "d1n")) == [(1, "kept"), (2, "added")]
 
 
 def test_catalogue_keeps_first_values(spark):
@@ -85,12 +95,14 @@ def test_catalogue_keeps_first_values(spark):
 
 
 def test_period_attributes_are_replaced(spark):
-    first = periods_from_metadata(metadata(spark, cube("1")))
+    first = upsert_periods(empty_star(spark).periodo, periods_from_metadata(metadata(spark, cube("1"))))
     changed = cube("2", periods=("202002", "202003"))
     for p in changed["periodos"]:
         p["trimestre"] = 1
     merged = upsert_periods(first, periods_from_metadata(metadata(spark, changed)))
     assert sorted(values(merged, "codigo", "trimestre")) == [("202001", None), ("202002", 1), ("202003", 1)]
+    ids = dict(values(merged, "codigo", "id"))
+    assert {c: ids[c] for c in ("202001", "202002")} == dict(values(first, "codigo", "id")) and ids["202003"] == 3
 
 
 def test_places_from_metadata_use_data_level_codes(spark):
@@ -101,7 +113,7 @@ def test_places_from_metadata_use_data_level_codes(spark):
     ]
     places = places_from_metadata(metadata(spark, described))
     assert values(places, "nc", "d1c", "d1n") == [("N6", "100", "A")]
-    assert values(places, "id") == values(distinct_places(observations(spark, {})), "id")
+    assert values(places, "key") == values(distinct_places(observations(spark, {})), "key")
 
 
 def test_repeated_cube_ids(spark):
@@ -116,6 +128,12 @@ def periods(spark):
     )
 
 
+#: Of the two periods 200702, the one whose content key is smaller.
+SMALLEST = min(
+    ("1", "2"), key=lambda i: hashlib.md5(f"v6:200702v5:1|1:{'ab'[int(i) - 1]}".encode()).hexdigest()
+)
+
+
 def frequencies(spark, *names):
     return spark.createDataFrame([(n,) for n in names], "frequencia string")
 
@@ -125,24 +143,25 @@ def test_ambiguous_period_codes(spark):
     assert dict(values(period_by_code(p, frequencies(spark, "mensal")), "codigo", "periodo_id")) == {"200702": "1", "200701": "3"}
     assert dict(values(period_by_code(p, frequencies(spark, "semestral")), "codigo", "periodo_id")) == {"200702": "2"}
     unfiltered = {r.codigo: (r.periodo_id, r.hits) for r in period_by_code(p).collect()}
-    assert unfiltered == {"200702": ("1", 2), "200701": ("3", 1)}
+    # The smallest content key, whatever the ids.
+    assert unfiltered == {"200702": (SMALLEST, 2), "200701": ("3", 1)}
 
 
 def test_period_groups(spark):
     pairs = spark.createDataFrame([("bimestral", "mensal"), ("bimestral", "semestral")], "periodicidade string, frequencia string")
     got = {(r.grupo, r.codigo): (r.periodo_id, r.hits) for r in period_by_group(periods(spark), pairs).collect()}
     assert got == {
-        ("bimestral", "200702"): ("1", 2), ("bimestral", "200701"): ("3", 1),
-        ("", "200702"): ("1", 2), ("", "200701"): ("3", 1),
+        ("bimestral", "200702"): (SMALLEST, 2), ("bimestral", "200701"): ("3", 1),
+        ("", "200702"): (SMALLEST, 2), ("", "200701"): ("3", 1),
     }
 
 
 def test_lookups_restrict(spark):
-    places = distinct_places(observations(spark, {}, {"D1C": "2"}))
+    places = stored_places(spark, distinct_places(observations(spark, {}, {"D1C": "2"})))
     nothing = places.filter("false")
     assert place_lookup(places, nothing).count() == 0
     assert place_lookup(places, places.filter("d1c = '2'")).count() == 1
-    dims = distinct_dimensions(observations(spark, {}, {"D4C": "8"}, {"D2C": "6"}))
+    dims = stored_members(spark, distinct_dimensions(observations(spark, {}, {"D4C": "8"}, {"D2C": "6"})))
     assert dimension_lookup(dims, dims.filter("d4c = '8'")).count() == 2
     lookup = period_lookup(periods(spark), frequencies(spark, "200701").withColumnRenamed("frequencia", "codigo"))
     assert values(lookup, "literals", "periodo_id") == [([], "3")]
@@ -151,7 +170,7 @@ def test_lookups_restrict(spark):
 def test_reject_reasons_in_order(spark):
     star = load_metadata(empty_star(spark), metadata(spark, cube("1")))
     known = observations(spark, {}, {"D1C": "2", "MC": None})
-    places, dims = distinct_places(known), distinct_dimensions(known)
+    places, dims = stored_places(spark, distinct_places(known)), stored_members(spark, distinct_dimensions(known))
     batch = observations(
         spark,
         {"V": "ok"},
@@ -176,10 +195,18 @@ def test_content_resolution_equals_lookup(spark):
         spark, {}, {"D1C": "2"}, {"MC": None, "D4C": None}, {"D2C": None}, {"D3C": "1"}, {"V": "..."},
         {"tabela_sidra_id": "not described", "D3C": "202002"},
     )
-    by_lookup = resolve_cells(
-        batch, distinct_places(batch), distinct_dimensions(batch), star.periodo, star.tabela_sidra
+    star = star._replace(
+        localidade=stored_places(spark, distinct_places(batch)),
+        dimensao=stored_members(spark, distinct_dimensions(batch)),
+    )
+    by_lookup = with_content_keys(
+        star, resolve_cells(batch, star.localidade, star.dimensao, star.periodo, star.tabela_sidra)
     )
-    by_content = resolve_by_content(batch, star.periodo, star.tabela_sidra)
+    told = {"localidade_key": "localidade_id", "dimensao_key": "dimensao_id"}
+    by_content = with_content_keys(
+        star._replace(localidade=None, dimensao=None),
+        resolve_by_content(batch, star.periodo, star.tabela_sidra),
+    ).withColumnsRenamed(told)
     columns = by_content.columns
     def everything(df):
         return sorted(map(str, values(df, *columns)))

@@ -174,6 +174,7 @@ def test_star_checks(spark, star):
 
 
 def test_old_table_survives_a_failed_rename(spark, monkeypatch):
+    """New columns, so that tables are renamed."""
     spark.sql("CREATE DATABASE IF NOT EXISTS publish")
     output = {"name": "t", "schema": "publish", "strategy": "replace", "sql": "SELECT 1 AS x"}
     materialize(spark, [output], "publish")
@@ -186,7 +187,7 @@ def test_old_table_survives_a_failed_rename(spark, monkeypatch):
 
     monkeypatch.setattr(type(spark), "sql", failing)
     with pytest.raises(RuntimeError):
-        materialize(spark, [{**output, "sql": "SELECT 2 AS x"}], "publish")
+        materialize(spark, [{**output, "sql": "SELECT 2 AS x, 2 AS y"}], "publish")
     monkeypatch.undo()
     assert values(spark.table("publish.t"), "x") == [(1,)]
     assert [t.name for t in spark.catalog.listTables("publish")] == ["t"]

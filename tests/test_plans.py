@@ -7,7 +7,7 @@ from cubestar.operators.dimensions import distinct_dimensions, distinct_places
 from cubestar.operators.facts import merge_touched, of_cubes, touched_partitions
 from cubestar.operators.lookups import resolve_by_content
 from cubestar.operators.outputs import annual_summary, flatten
-from cubestar.plans.load import load_batch, load_into, load_metadata, save_metadata
+from cubestar.plans.load import insert_members, load_batch, load_into, load_metadata, save_metadata
 from cubestar.plans.presets import SUMMARY_COLUMNS, flat_output
 from cubestar.schema import empty_star
 from cubestar.sources.documents import explode_documents, latest_documents, list_documents, read_documents
@@ -31,7 +31,8 @@ def stored(spark, tmp_path_factory):
 
 def test_merge_prunes_stored_partitions(spark, stored):
     batch = null_sentinels(observations(spark, {"V": "2"}))
-    cells = resolve_by_content(batch, stored.periodo, stored.tabela_sidra).filter("reject_reason IS NULL")
+    rows = resolve_by_content(batch, stored.periodo, stored.tabela_sidra, keep_names=True)
+    *_, cells = insert_members(stored, rows)
     merged = merge_touched(stored.dados, cells, latest=touched_partitions(cells))
     text = plan(merged)
     facts = [line for line in text.splitlines() if "FileScan" in line and "dimensao_id" in line]
@@ -41,7 +42,8 @@ def test_merge_prunes_stored_partitions(spark, stored):
 def test_merge_prunes_without_broadcasts(spark, stored):
     """Only files of the batch's cube are read, whatever joins are chosen."""
     batch = null_sentinels(observations(spark, {"V": "2"}))
-    cells = resolve_by_content(batch, stored.periodo, stored.tabela_sidra).filter("reject_reason IS NULL")
+    rows = resolve_by_content(batch, stored.periodo, stored.tabela_sidra, keep_names=True)
+    *_, cells = insert_members(stored, rows)
     read = of_cubes(stored.dados, touched_partitions(cells))
     assert all("tabela_sidra_id=1/" in f for f in read.select("_metadata.file_path").distinct().toPandas()["file_path"])
     assert of_cubes(stored.dados, touched_partitions(cells), 0).count() == stored.dados.count() > read.count()
@@ -87,7 +89,7 @@ def test_results_do_not_depend_on_broadcasts(spark, monkeypatch):
         return sorted(values(flat_output(star, ["1"]), "localidade_id", "categoria", "valor"))
 
     usual = flat()
-    for module in ("operators.lookups", "operators.facts"):
+    for module in ("operators.lookups", "operators.facts", "operators.surrogates"):
         monkeypatch.setattr(f"cubestar.{module}.broadcast_if_small", lambda df, *a, **k: df)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
