@@ -16,8 +16,9 @@ differ in at most a number k that the band fixes. Signatures of a band:
 Equal sets are one class. Groups of classes that share a signature are checked in
 two steps, and never all their pairs: each class first with the smallest of its
 group; then, in groups that still hold several components, across components, block
-by block. Before shingles are compared, a parity sketch is: every shingle flips one
-of its bits, so it never differs in more bits than the sets do in shingles.
+by block, where a link joins two components and no further pair of them is looked at.
+Before shingles are compared, a parity sketch is: every shingle flips one of its
+bits, so it never differs in more bits than the sets do in shingles.
 """
 
 from __future__ import annotations
@@ -42,8 +43,8 @@ REACH = 19
 PARTS, LEFT_OUT = 3, 1
 #: Smaller sets link with equal sets only: no two of them may differ by one.
 LEAST = 9
-#: Classes of one block of a large group.
-BLOCK = 1_024
+#: Classes, and shingles, of one block of a large group.
+BLOCK, BLOCK_SHINGLES = 1_024, 1 << 20
 
 _hashes = WordHashes()
 
@@ -185,14 +186,13 @@ def _near(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     return map_batches(joined.select("a", "b", "na", "sa", "nb", "sb"), step, "a long, b long")
 
 
-def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """The pairs (a, b) whose sets link, by their shingles.
+def _sets_of(ids: DataFrame, classes: DataFrame, docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """id, shingles (ascending hashes as bytes) of the classes in ``ids``.
 
     Only the texts that may be wanted are cut into shingles again: a bitmap of fixed
     size holds the ids of a document of each class.
     """
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    wanted = classes.select("id", "s1", "s2", "doc_id").join(ids, "id")
+    wanted = classes.select("id", "s1", "s2", "doc_id").join(ids.distinct(), "id")
     key = F.xxhash64(F.col("doc_id").cast("long"))
     shared = docs.sparkSession.sparkContext.broadcast(_bitmap(wanted.select(key.alias("hash"))))
 
@@ -211,12 +211,16 @@ def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, doc_id: str
 
     texts = docs.select(F.xxhash64(F.col(doc_id).cast("long")).alias("key"), utf8(text).alias("text"))
     again = texts.mapInArrow(run, "s1 long, s2 long, shingles binary")
-    sets = stage(
+    return stage(
         again.join(wanted.select("id", "s1", "s2"), ["s1", "s2"])
         .groupBy("id")
         .agg(F.first("shingles").alias("shingles")),
         "sets",
     )
+
+
+def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose sets link, by their shingles."""
     both = pairs.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa")), "a").join(
         sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb")), "b"
     )
@@ -237,52 +241,103 @@ def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, doc_id: str
     return map_batches(both.select("a", "b", "sa", "sb"), step, "a long, b long")
 
 
-def _across(members: DataFrame, classes: DataFrame, block: int) -> DataFrame:
-    """a, b: pairs of different components inside the groups that may link.
+def _open_members(members: DataFrame, classes: DataFrame, block: int) -> DataFrame:
+    """key, id, root, n, sketch of members of groups that still hold several components.
 
-    ``members`` has sig, id, root. Groups of more than ``block`` members are dealt as
-    pairs of blocks.
+    ``members`` has sig, id, root. Large groups are dealt as pairs of blocks; a key is
+    a group or a pair of its blocks.
     """
-    sizes = members.groupBy("sig").agg(F.count("*").alias("n_members"), F.min("root").alias("lo"), F.max("root").alias("hi"))
-    open_groups = sizes.where("lo < hi").select("sig", F.ceil(F.col("n_members") / block).alias("blocks"))
-    rows = members.join(open_groups, "sig").join(classes.select("id", "n", "sketch"), "id")
+    sized = members.join(classes.select("id", "n", "sketch"), "id")
+    groups = sized.groupBy("sig").agg(
+        F.count("*").alias("held"), F.sum("n").alias("shingles"), F.min("root").alias("lo"), F.max("root").alias("hi")
+    )
+    blocks = F.ceil(F.greatest(F.col("held") / block, F.col("shingles") / BLOCK_SHINGLES))
+    rows = sized.join(groups.where("lo < hi").select("sig", blocks.alias("blocks")), "sig")
     own = F.pmod(F.xxhash64("id"), F.col("blocks"))
     dealt = rows.select(
-        "sig", F.struct("id", "root", "n", "sketch").alias("entry"), own.alias("own"),
+        "sig", "id", "root", "n", "sketch", own.alias("own"),
         F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other"),
     )
-    lists = dealt.groupBy("sig", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")).agg(
-        F.collect_list("entry").alias("entries")
-    )
+    key = F.xxhash64("sig", F.least("own", "other"), F.greatest("own", "other"))
+    return dealt.select(key.alias("key"), "id", "root", "n", "sketch")
 
-    def step():
-        def run(batch):
-            a, b = [], []
-            for held in batch.column(0):
-                entries = held.values
-                ids, roots, n = (entries.field(i).to_numpy() for i in range(3))
-                by_width = _sketches_of(entries.field(3).to_pylist())
-                for wa, (rows_a, words_a) in by_width.items():
-                    for wb, (rows_b, words_b) in by_width.items():
-                        if wa > wb:
-                            continue
-                        folded = _folded(words_b, wa)
-                        for row, words in zip(rows_a.tolist(), words_a):
-                            near = (roots[rows_b] != roots[row]) & (ids[rows_b] > ids[row] if wa == wb else True)
-                            near &= np.abs(n[rows_b] - n[row]) <= (n[rows_b] + n[row]) // REACH
-                            some = np.flatnonzero(near)
-                            if len(some):
-                                bits = np.bitwise_count(folded[some] ^ words).sum(axis=1)
-                                some = rows_b[some[bits <= (n[rows_b[some]] + n[row]) // REACH]]
-                                a.append(np.full(len(some), ids[row]))
-                                b.append(ids[some])
-            a, b = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (a, b))
+
+def group_links(ids, roots, n, sketches: list[bytes], sets: list[bytes]):
+    """(id, id) links that join components of a group, one for each two that meet.
+
+    Members of one component are not compared, and a component that a link has joined
+    counts as the other from there on, so a group of near copies is left after few
+    comparisons. Sketches come first, then the shingles decide.
+    """
+    parent = {r: r for r in set(roots.tolist())}
+
+    def find(r):
+        while parent[r] != r:
+            parent[r] = r = parent[parent[r]]
+        return r
+
+    shingles = [np.frombuffer(s, np.uint64) for s in sets]
+    # Rows of one width of sketch, narrower ones with folded wider ones.
+    widths = sorted(_sketches_of(sketches).items())
+    for at, (width, (rows_a, words_a)) in enumerate(widths):
+        for _, (rows_b, words_b) in widths[at:]:
+            folded = _folded(words_b, width)
+            now = np.array([find(r) for r in roots[rows_b].tolist()])
+            for row, words in zip(rows_a.tolist(), words_a):
+                mine = find(int(roots[row]))
+                open_ = (now != mine) & (np.abs(n[rows_b] - n[row]) <= (n[rows_b] + n[row]) // REACH)
+                some = np.flatnonzero(open_ & (rows_b > row) if rows_a is rows_b else open_)
+                if not len(some):
+                    continue
+                bits = np.bitwise_count(folded[some] ^ words).sum(axis=1)
+                some = some[bits <= (n[rows_b[some]] + n[row]) // REACH]
+                if not len(some):
+                    continue
+                near = rows_b[some]
+                both = np.concatenate([shingles[r] for r in near.tolist()])
+                spot = np.minimum(np.searchsorted(shingles[row], both), len(shingles[row]) - 1)
+                ends = np.cumsum(n[near])
+                shared = np.diff(np.cumsum(shingles[row][spot] == both)[ends - 1], prepend=0)
+                linked = 100 * shared >= 90 * (n[near] + n[row] - shared)
+                for other in near[linked].tolist():
+                    theirs = find(int(roots[other]))
+                    mine = find(mine)
+                    if theirs != mine:
+                        parent[theirs] = mine
+                        yield int(ids[row]), int(ids[other])
+                if linked.any():
+                    now = np.array([find(r) for r in now.tolist()])
+
+
+def _across(rows: DataFrame, sets: DataFrame) -> DataFrame:
+    """a, b: verified links that join components inside the groups of ``rows``."""
+    n_parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    whole = rows.join(sets, "id").select("key", "id", "root", "n", "sketch", "shingles")
+    sorted_rows = whole.repartition(n_parts, "key").sortWithinPartitions("key")
+
+    def run(batches):
+        held: list[list] = [[] for _ in range(5)]
+        key = None
+
+        def links():
+            ids, roots, n = (np.array(c, np.int64) for c in held[:3])
+            found = list(group_links(ids, roots, n, held[3], held[4]))
+            a, b = zip(*found) if found else ((), ())
             return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
-        return run
+        for batch in batches:
+            columns = [batch.column(i).to_pylist() for i in range(6)]
+            for k, *values in zip(*columns):
+                if k != key:
+                    if key is not None:
+                        yield links()
+                    held, key = [[] for _ in range(5)], k
+                for column, value in zip(held, values):
+                    column.append(value)
+        if key is not None:
+            yield links()
 
-    found = map_batches(lists.select("entries"), step, "a long, b long")
-    return found.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    return sorted_rows.mapInArrow(run, "a long, b long").distinct()
 
 
 def similar_sets(
@@ -328,14 +383,16 @@ def similar_sets(
         groups.where("held = 2").select(F.col("hi").alias("a"), F.col("lo").alias("b"))
     )
     near = stage(_near(hubs.distinct(), slim), "near")
-    links = stage(_verified(near, slim, docs, doc_id, text), "links")
+    ends = near.select(F.explode(F.array("a", "b")).alias("id"))
+    links = stage(_verified(near, _sets_of(ends, slim, docs, doc_id, text)), "links")
     roots = stage(connected_components(links), "roots")
     labelled = members.select("sig", "id").join(roots.withColumnRenamed("node", "id"), "id", "left").select(
         "sig", "id", F.coalesce("root", "id").alias("root")
     )
-    more = stage(_across(labelled, slim, block).join(near, ["a", "b"], "left_anti"), "across")
-    if not more.isEmpty():
-        links = stage(links.unionByName(_verified(more, slim, docs, doc_id, text)), "links")
+    left = stage(_open_members(labelled, slim, block), "open")
+    if not left.isEmpty():
+        more = _across(left, _sets_of(left.select("id"), slim, docs, doc_id, text))
+        links = stage(links.unionByName(more), "links")
         roots = stage(connected_components(links), "roots")
     named = slim.join(roots.withColumnRenamed("node", "id"), "id", "left").select(
         "s1", "s2", "doc_id", F.coalesce("root", "id").alias("root")
