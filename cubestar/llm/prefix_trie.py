@@ -219,14 +219,14 @@ def prefix_trie(turns: DataFrame, ids: DataFrame) -> DataFrame:
     totals = below.groupBy(*_NODE).agg(
         F.sum("saved").alias("saved_tokens"), F.sum(F.coalesce("leaf", F.lit(0))).alias("n_leaves")
     )
-    # The root is a single row: its totals are those of all nodes.
-    zero = F.lit(0).cast("long")
-    root = (
-        conversations.agg(F.count("*").alias("n_convs"), F.min("conv_id").alias("conv_id"))
-        .where("n_convs > 0")
-        .select(zero.alias("depth"), zero.alias("p1"), zero.alias("p2"), "n_convs", "conv_id")
-        .join(nodes.agg(zero.alias("depth"), F.coalesce(F.sum(F.expr("(n_convs - 1) * chars")), zero).alias("saved_tokens")), "depth")
-        .join(leaves.agg(zero.alias("depth"), F.count("*").alias("n_leaves")), "depth")
+    # The root is a single row of five numbers: its totals are those of all nodes.
+    spark = turns.sparkSession
+    n_convs, smallest = conversations.agg(F.count("*"), F.min("conv_id")).first()
+    all_saved = nodes.agg(F.coalesce(F.sum(F.expr("(n_convs - 1) * chars")), F.lit(0))).first()[0]
+    root = spark.createDataFrame(
+        [(0, 0, 0, smallest, None, n_convs, all_saved, leaves.count())] if n_convs else [],
+        "depth long, p1 long, p2 long, conv_id long, parent_conv_id long, n_convs long,"
+        " saved_tokens long, n_leaves long",
     )
     above = nodes.where("depth > 1").join(
         nodes.select(
@@ -235,12 +235,10 @@ def prefix_trie(turns: DataFrame, ids: DataFrame) -> DataFrame:
         ),
         ["depth", "q1", "q2"],
     )
-    top = nodes.where("depth = 1").join(
-        F.broadcast(root.select((F.col("depth") + 1).alias("depth"), F.col("conv_id").alias("parent_conv_id"))), "depth"
-    )
+    top = nodes.where("depth = 1").withColumn("parent_conv_id", F.lit(smallest).cast("long"))
     columns = [*_NODE, "conv_id", "parent_conv_id", "n_convs"]
     placed = above.select(*columns).unionByName(top.select(*columns)).join(totals, list(_NODE))
-    placed = placed.unionByName(root.withColumn("parent_conv_id", F.lit(None).cast("long")))
+    placed = placed.unionByName(root)
     ends = _ends(conversations).withColumnsRenamed({"k1": "p1", "k2": "p2"})
     return (
         placed.join(parents, list(_NODE), "left")
@@ -250,7 +248,7 @@ def prefix_trie(turns: DataFrame, ids: DataFrame) -> DataFrame:
             "depth",
             "parent_conv_id",
             "n_convs",
-            F.coalesce("n_children", zero).alias("n_children"),
+            F.coalesce("n_children", F.lit(0)).alias("n_children"),
             "n_leaves",
             "saved_tokens",
             F.coalesce("ends_sha256", F.lit(hashlib.sha256(b"").hexdigest())).alias("ends_sha256"),
