@@ -15,8 +15,9 @@ differ in at most a number k that the band fixes. Signatures of a band:
 
 Equal sets are one class. Groups of classes that share a signature are checked in
 two steps, and never all their pairs: each class first with the smallest of its
-group; then, in groups that still hold several components, across components, block
-by block, where a link joins two components and no further pair of them is looked at.
+group; then, in groups that still hold several components, across components: what the
+sketches let pass falls into clusters, in which, block by block, a link joins two
+components and no further pair of them is looked at.
 Before shingles are compared, a parity sketch is: every shingle flips one of its
 bits, so it never differs in more bits than the sets do in shingles.
 """
@@ -241,51 +242,53 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return map_batches(both.select("a", "b", "sa", "sb"), step, "a long, b long")
 
 
-def _open_members(members: DataFrame, classes: DataFrame, block: int) -> DataFrame:
-    """key, id, root, n, sketch of members of groups that still hold several components.
+def _dealt(members: DataFrame, classes: DataFrame, group: str, block: int) -> DataFrame:
+    """key, id, root, n, sketch of members of groups that hold several components.
 
-    ``members`` has sig, id, root. Large groups are dealt as pairs of blocks; a key is
-    a group or a pair of its blocks.
+    ``members`` has the group's column, id and root. Large groups are dealt as pairs of
+    blocks; a key is a group or a pair of its blocks.
     """
     sized = members.join(classes.select("id", "n", "sketch"), "id")
-    groups = sized.groupBy("sig").agg(
+    groups = sized.groupBy(group).agg(
         F.count("*").alias("held"), F.sum("n").alias("shingles"), F.min("root").alias("lo"), F.max("root").alias("hi")
     )
     blocks = F.ceil(F.greatest(F.col("held") / block, F.col("shingles") / BLOCK_SHINGLES))
-    rows = sized.join(groups.where("lo < hi").select("sig", blocks.alias("blocks")), "sig")
+    rows = sized.join(groups.where("lo < hi").select(group, blocks.alias("blocks")), group)
     own = F.pmod(F.xxhash64("id"), F.col("blocks"))
     dealt = rows.select(
-        "sig", "id", "root", "n", "sketch", own.alias("own"),
+        group, "id", "root", "n", "sketch", own.alias("own"),
         F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other"),
     )
-    key = F.xxhash64("sig", F.least("own", "other"), F.greatest("own", "other"))
+    key = F.xxhash64(group, F.least("own", "other"), F.greatest("own", "other"))
     return dealt.select(key.alias("key"), "id", "root", "n", "sketch")
 
 
-def group_links(ids, roots, n, sketches: list[bytes], sets: list[bytes]):
-    """(id, id) links that join components of a group, one for each two that meet.
+def group_links(ids, roots, n, sketches: list[bytes], sets: list[bytes] | None = None):
+    """(id, id) links inside a group, fewer than it has members.
 
-    Members of one component are not compared, and a component that a link has joined
-    counts as the other from there on, so a group of near copies is left after few
-    comparisons. Sketches come first, then the shingles decide.
+    With ``sets`` sketches come first and the shingles decide. Members of one component
+    are not compared, and a component that a link has joined counts as the other from
+    there on. Without sets a pair of different components that the sketches let pass
+    is a link, and members that such links connect already are not compared.
     """
-    parent = {r: r for r in set(roots.tolist())}
+    nodes = roots if sets is not None else np.arange(len(ids))
+    parent = {r: r for r in set(nodes.tolist())}
 
     def find(r):
         while parent[r] != r:
             parent[r] = r = parent[parent[r]]
         return r
 
-    shingles = [np.frombuffer(s, np.uint64) for s in sets]
+    shingles = [np.frombuffer(s, np.uint64) for s in sets or ()]
     # Rows of one width of sketch, narrower ones with folded wider ones.
     widths = sorted(_sketches_of(sketches).items())
     for at, (width, (rows_a, words_a)) in enumerate(widths):
         for _, (rows_b, words_b) in widths[at:]:
             folded = _folded(words_b, width)
-            now = np.array([find(r) for r in roots[rows_b].tolist()])
+            now = np.array([find(r) for r in nodes[rows_b].tolist()])
             for row, words in zip(rows_a.tolist(), words_a):
-                mine = find(int(roots[row]))
-                open_ = (now != mine) & (np.abs(n[rows_b] - n[row]) <= (n[rows_b] + n[row]) // REACH)
+                mine = find(int(nodes[row]))
+                open_ = (now != mine) & (roots[rows_b] != roots[row]) & (np.abs(n[rows_b] - n[row]) <= (n[rows_b] + n[row]) // REACH)
                 some = np.flatnonzero(open_ & (rows_b > row) if rows_a is rows_b else open_)
                 if not len(some):
                     continue
@@ -294,13 +297,15 @@ def group_links(ids, roots, n, sketches: list[bytes], sets: list[bytes]):
                 if not len(some):
                     continue
                 near = rows_b[some]
-                both = np.concatenate([shingles[r] for r in near.tolist()])
-                spot = np.minimum(np.searchsorted(shingles[row], both), len(shingles[row]) - 1)
-                ends = np.cumsum(n[near])
-                shared = np.diff(np.cumsum(shingles[row][spot] == both)[ends - 1], prepend=0)
-                linked = 100 * shared >= 90 * (n[near] + n[row] - shared)
+                linked = np.ones(len(near), bool)
+                if sets is not None:
+                    both = np.concatenate([shingles[r] for r in near.tolist()])
+                    spot = np.minimum(np.searchsorted(shingles[row], both), len(shingles[row]) - 1)
+                    ends = np.cumsum(n[near])
+                    shared = np.diff(np.cumsum(shingles[row][spot] == both)[ends - 1], prepend=0)
+                    linked = 100 * shared >= 90 * (n[near] + n[row] - shared)
                 for other in near[linked].tolist():
-                    theirs = find(int(roots[other]))
+                    theirs = find(int(nodes[other]))
                     mine = find(mine)
                     if theirs != mine:
                         parent[theirs] = mine
@@ -309,34 +314,33 @@ def group_links(ids, roots, n, sketches: list[bytes], sets: list[bytes]):
                     now = np.array([find(r) for r in now.tolist()])
 
 
-def _across(rows: DataFrame, sets: DataFrame) -> DataFrame:
-    """a, b: verified links that join components inside the groups of ``rows``."""
+def _links_inside(rows: DataFrame) -> DataFrame:
+    """a, b: links of ``group_links`` for every key of the rows, with sets if they have any."""
     n_parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    whole = rows.join(sets, "id").select("key", "id", "root", "n", "sketch", "shingles")
-    sorted_rows = whole.repartition(n_parts, "key").sortWithinPartitions("key")
+    n_values = len(rows.columns) - 1
 
     def run(batches):
-        held: list[list] = [[] for _ in range(5)]
+        held: list[list] = [[] for _ in range(n_values)]
         key = None
 
         def links():
             ids, roots, n = (np.array(c, np.int64) for c in held[:3])
-            found = list(group_links(ids, roots, n, held[3], held[4]))
+            found = list(group_links(ids, roots, n, *held[3:]))
             a, b = zip(*found) if found else ((), ())
             return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
         for batch in batches:
-            columns = [batch.column(i).to_pylist() for i in range(6)]
-            for k, *values in zip(*columns):
+            for k, *values in zip(*(c.to_pylist() for c in batch.columns)):
                 if k != key:
                     if key is not None:
                         yield links()
-                    held, key = [[] for _ in range(5)], k
+                    held, key = [[] for _ in range(n_values)], k
                 for column, value in zip(held, values):
                     column.append(value)
         if key is not None:
             yield links()
 
+    sorted_rows = rows.repartition(n_parts, "key").sortWithinPartitions("key")
     return sorted_rows.mapInArrow(run, "a long, b long").distinct()
 
 
@@ -389,9 +393,18 @@ def similar_sets(
     labelled = members.select("sig", "id").join(roots.withColumnRenamed("node", "id"), "id", "left").select(
         "sig", "id", F.coalesce("root", "id").alias("root")
     )
-    left = stage(_open_members(labelled, slim, block), "open")
-    if not left.isEmpty():
-        more = _across(left, _sets_of(left.select("id"), slim, docs, doc_id, text))
+    # What may link across components, by sketches, falls into clusters: every class is
+    # in one of them, so its shingles are read once, however many groups it is in.
+    may_link = stage(_links_inside(_dealt(labelled, slim, "sig", block)), "may-link")
+    if not may_link.isEmpty():
+        clusters = stage(connected_components(may_link), "clusters")
+        clustered = clusters.select(F.col("node").alias("id"), F.col("root").alias("cluster")).join(
+            roots.withColumnRenamed("node", "id"), "id", "left"
+        ).select("cluster", "id", F.coalesce("root", "id").alias("root"))
+        sets = _sets_of(clustered.select("id"), slim, docs, doc_id, text)
+        more = _links_inside(_dealt(clustered, slim, "cluster", block).join(sets, "id").select(
+            "key", "id", "root", "n", "sketch", "shingles"
+        ))
         links = stage(links.unionByName(more), "links")
         roots = stage(connected_components(links), "roots")
     named = slim.join(roots.withColumnRenamed("node", "id"), "id", "left").select(
