@@ -188,14 +188,14 @@ SITE_RULES = (
 )
 
 _SITE_VALUES = ", ".join(f"('{a}', '{h}', '{p}')" for a, h, p in SITE_RULES)
-_PHRASE_VALUES = ", ".join(f"('{p}')" for p in url_rules.JUNK_PHRASES)
+_PATTERN_VALUES = ", ".join(f"('{n}', '{p}')" for n, p in url_rules.DEFAULT_PATTERNS)
 
 
 @query(
     "op9_url_rules",
     rf"""
 WITH rules(action, host, path) AS (VALUES {_SITE_VALUES}),
-phrases(phrase) AS (VALUES {_PHRASE_VALUES}),
+patterns(name, expression) AS (VALUES {_PATTERN_VALUES}),
 parts AS MATERIALIZED (
     SELECT page_id, url,
            translate(regexp_extract(after, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
@@ -208,12 +208,11 @@ sites AS (
       ON (p.host = r.host OR ends_with(p.host, '.' || r.host)) AND starts_with(p.path, r.path)
     GROUP BY url),
 junk AS (
-    SELECT url, min(phrase) AS phrase FROM (SELECT DISTINCT url FROM parts) p JOIN phrases
-      ON regexp_matches(translate(url, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-                        '(^|[^a-z0-9])' || phrase || '([^a-z0-9]|$)')
+    SELECT url, min(name) AS pattern FROM (SELECT DISTINCT url FROM parts) p JOIN patterns
+      ON regexp_matches(translate(url, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), expression)
     GROUP BY url)
 SELECT page_id, host, path, fit[2] AS rule,
-       coalesce(fit[3], CASE WHEN phrase IS NOT NULL THEN 'block' ELSE 'allow' END) AS verdict, phrase
+       coalesce(fit[3], CASE WHEN pattern IS NOT NULL THEN 'block' ELSE 'allow' END) AS verdict, pattern
 FROM parts LEFT JOIN sites ON parts.url = sites.url LEFT JOIN junk ON parts.url = junk.url""",
 )
 def op9_url_rules(spark, sf_dir):
