@@ -389,8 +389,14 @@ def similar_sets(
     near = stage(_near(hubs.distinct(), slim), "near")
     ends = near.select(F.explode(F.array("a", "b")).alias("id"))
     links = stage(_verified(near, _sets_of(ends, slim, docs, doc_id, text)), "links")
-    roots = stage(connected_components(links), "roots")
-    labelled = members.select("sig", "id").join(roots.withColumnRenamed("node", "id"), "id", "left").select(
+    # Classes with one label are surely of one component: they lead to the same class
+    # over one or two links. That spares most comparisons; the components follow last.
+    step = links.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("hub"))
+    further = step.select(F.col("id").alias("hub"), F.col("hub").alias("beyond"))
+    labels = stage(
+        step.join(further, "hub", "left").select("id", F.coalesce("beyond", "hub").alias("root")), "labels"
+    )
+    labelled = members.select("sig", "id").join(labels, "id", "left").select(
         "sig", "id", F.coalesce("root", "id").alias("root")
     )
     # What may link across components, by sketches, falls into clusters: every class is
@@ -399,14 +405,14 @@ def similar_sets(
     if not may_link.isEmpty():
         clusters = stage(connected_components(may_link), "clusters")
         clustered = clusters.select(F.col("node").alias("id"), F.col("root").alias("cluster")).join(
-            roots.withColumnRenamed("node", "id"), "id", "left"
+            labels, "id", "left"
         ).select("cluster", "id", F.coalesce("root", "id").alias("root"))
         sets = _sets_of(clustered.select("id"), slim, docs, doc_id, text)
         more = _links_inside(_dealt(clustered, slim, "cluster", block).join(sets, "id").select(
             "key", "id", "root", "n", "sketch", "shingles"
         ))
         links = stage(links.unionByName(more), "links")
-        roots = stage(connected_components(links), "roots")
+    roots = stage(connected_components(links), "roots")
     named = slim.join(roots.withColumnRenamed("node", "id"), "id", "left").select(
         "s1", "s2", "doc_id", F.coalesce("root", "id").alias("root")
     )
