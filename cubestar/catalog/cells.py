@@ -49,7 +49,6 @@ from cubestar.plans.load import (
     save_metadata,
 )
 from cubestar.schema import DIMENSION_KEY, MEMBER_TABLES, empty_star
-from cubestar.sources.documents import observation_documents
 from cubestar.sources.star_tables import create_star, read_star
 from cubestar.sources.workdir import new_path
 from cubestar.streaming.ingest import ingest_documents
@@ -431,13 +430,12 @@ def t10_streamed(spark, sf):
     path, landing = new_path(spark, "streamed"), new_path(spark, "landings")
     create_star(spark, path)
     save_metadata(spark, path, inputs.metadata(spark, sf))
-    landed = spark.read.schema("value STRING, document STRING").text(inputs.landing(spark, sf), wholetext=True)
-    first = F.col("document").contains("@2024-01-01")
-    for rows in (landed.filter(first), landed.filter(~first)):
-        rows.write.mode("append").partitionBy("document").text(landing)
-        stream = spark.readStream.schema("value STRING, document STRING").option("wholetext", "true").text(landing)
-        docs = observation_documents(stream.select(inputs.landing_path(), "value"))
-        ingest_documents(docs, path, f"{path}-checkpoint").awaitTermination()
+    documents = inputs.documents(spark, sf)
+    first = F.col("file_path").contains("@2024-01-01")
+    for landed in (documents.filter(first), documents.filter(~first)):
+        landed.write.mode("append").parquet(landing)
+        stream = spark.readStream.schema(documents.schema).parquet(landing)
+        ingest_documents(stream, path, f"{path}-checkpoint").awaitTermination()
     star = read_star(spark, path)
     return with_content_keys(star, star.dados)
 

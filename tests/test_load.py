@@ -297,3 +297,25 @@ def test_documents_by_descriptor(spark, described, tmp_path):
     create_star(spark, path)
     save_metadata(spark, path, metadata(spark, cube("1")))
     assert load_planned(spark, path, docs, plan).first().staged == 2
+
+
+def test_a_load_that_failed_is_done_again(spark, tmp_path, monkeypatch):
+    """Members are stored, facts are not: the repeat adds what is left, once."""
+    from cubestar.plans import load as loading
+
+    path = store(spark, str(tmp_path / "star"))
+    batch = observations(spark, *OLD)
+    monkeypatch.setattr(loading, "write_facts", lambda *a: (_ for _ in ()).throw(RuntimeError("driver lost")))
+    with pytest.raises(RuntimeError):
+        load_into(spark, path, batch, batch_id="stream#0")
+    monkeypatch.undo()
+    before = read_star(spark, path)
+    assert before.dados.count() == 0 and before.localidade.count() == 6
+    ids = dict(values(before.localidade, "d1c", "id"))
+    report = load_into(spark, path, batch, batch_id="stream#0").first()
+    star = read_star(spark, path)
+    assert dict(values(star.localidade, "d1c", "id")) == ids and star.dados.count() == len(OLD)
+    # Recognised by its id: nothing is read, whatever the batch holds now.
+    again = load_into(spark, path, batch.where("false"), batch_id="stream#0").first()
+    assert again == report and report.inserted == len(OLD)
+    assert load_into(spark, path, batch.where("false"), batch_id="stream#1").count() == 0
