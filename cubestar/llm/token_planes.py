@@ -18,13 +18,14 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cubestar.llm.common import utf8
-from cubestar.llm.tokenizing import cache_of, lowered_words, vocabulary_path
+from cubestar.llm.tokenizing import cache_of, vocabulary_path
 from cubestar.sources.workdir import new_path
 
 BLOCK_IDS = 1 << 16
@@ -165,22 +166,19 @@ def encode_documents(
         end = np.array([end_id], np.uint32)
 
         def encoded(doc_ids, texts):
-            for doc_id, ids in zip(doc_ids, cache.ids([lowered_words(t) for t in texts])):
-                yield from writer.add(
-                    doc_id, np.concatenate([np.frombuffer(ids, "<u2").astype(np.uint32), end])
-                )
+            ids, bounds = cache.laid_out(texts)
+            for doc_id, a, b in zip(doc_ids, bounds.tolist(), bounds[1:].tolist()):
+                yield from writer.add(doc_id, np.append(ids[a:b].astype(np.uint32), end))
 
         def chunks():
             for batch in batches:
-                doc_ids = batch.column(0).to_pylist()
-                texts, at, size = [], 0, 0
-                for text in batch.column(1):
-                    texts.append(text.as_py())
-                    size += len(texts[-1])
-                    if size >= BATCH_BYTES:
-                        yield from encoded(doc_ids[at : at + len(texts)], texts)
-                        at, texts, size = at + len(texts), [], 0
-                yield from encoded(doc_ids[at:], texts)
+                doc_ids, texts, at = batch.column(0).to_pylist(), batch.column(1), 0
+                upto = np.cumsum(pc.binary_length(texts).to_numpy(), dtype=np.int64)
+                while at < len(texts):
+                    size = BATCH_BYTES + (upto[at - 1] if at else 0)
+                    to = min(int(np.searchsorted(upto, size)) + 1, len(texts))
+                    yield from encoded(doc_ids[at:to], texts[at:to])
+                    at = to
             if writer.filled:
                 yield writer.flush()
 

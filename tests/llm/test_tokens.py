@@ -1,14 +1,15 @@
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from edges import DOCUMENTS, documents
 from hypothesis import given
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from cubestar.llm import attribution, token_planes
-from cubestar.llm.tokenizing import cache_of, lowered_words, vocabulary_path
+from cubestar.llm import attribution, token_planes, tokenizing
+from cubestar.llm.tokenizing import SMALL, cache_of, lowered_words, vocabulary_path
 
 WORD_BPE = vocabulary_path("word_bpe_49k.json")
 TOKENIZER = Tokenizer.from_file(WORD_BPE)
@@ -79,6 +80,56 @@ def test_any_text_encodes_like_the_whole(text):
     assert np.frombuffer(ids, "<u2").tolist() == TOKENIZER.encode(text, add_special_tokens=False).ids
 
 
+def laid_out(texts, cache=None):
+    ids, bounds = (cache or cache_of("word", WORD_BPE)).laid_out(pa.array([t.encode() for t in texts], pa.binary()))
+    return [ids[a:b].tolist() for a, b in zip(bounds, bounds[1:])]
+
+
+def whole(texts):
+    return [e.ids for e in TOKENIZER.encode_batch(texts, add_special_tokens=False)]
+
+
+def test_texts_laid_out_like_the_whole():
+    marked = [f"{before}{c}{marks}" for c in SMALL for before in ("", "é", "\u0301", "'") for marks in (".,'", "***", "<|")]
+    special = ["", " ", "X<|endoftext|>., a", "<|EndOfText|>.", "S<|startoftext|>***", "it's. dogs'. 'S, 're"]
+    composed = ["İ. É, Ω* Å.", "\u0958, \u0958a.", "e\u0301. H\u0331, h\u0345.", "a\xa0. b\x1c, 1. ½,"]
+    texts = [*HARD, *marked, *special, *composed]
+    assert laid_out(texts) == whole(texts)
+    assert laid_out([]) == []
+
+
+@given(st.lists(st.text(alphabet=st.sampled_from("abSZÉé.,'! \n\tİ1漢-*<|>\u0301ςя\u0958\xa0"), max_size=40), max_size=5))
+def test_any_texts_laid_out_like_the_whole(texts):
+    assert laid_out(texts) == whole(texts)
+
+
+def test_bytes_that_are_no_text_are_laid_out_as_words():
+    texts = [b"a\xff. B\xc3, \xe9\xc3\xa9. ok", b"\xc3 \xa9."]
+    cache = cache_of("word", WORD_BPE)
+    ids, bounds = cache.laid_out(pa.array(texts, pa.binary()))
+    words = cache.ids([lowered_words(t) for t in texts])
+    assert [ids[a:b].tolist() for a, b in zip(bounds, bounds[1:])] == [np.frombuffer(w, "<u2").tolist() for w in words]
+
+
+@pytest.mark.parametrize("bound", [800_000, 3])
+def test_a_word_is_encoded_once_whatever_marks_follow(monkeypatch, bound):
+    monkeypatch.setattr(tokenizing, "MAX_CACHED_WORDS", bound)
+    given_words = []
+
+    def encode(words):
+        given_words.extend(words)
+        return inner.encode(words)
+
+    inner = cache_of("word", WORD_BPE)
+    cache = tokenizing.WordCache(encode)
+    texts = ["Anhe anhe*** anhe. ANHE, été*** Été. Été, été!! été", "anhe%%% été%%% anhe."]
+    for _ in range(2):
+        assert laid_out(texts, cache) == whole(texts)
+    once = {"anhe", "été", "Été", *"%%% *** . , !!".split(), ""}
+    assert set(given_words) == {w.encode() for w in once}
+    assert bound == 3 or len(given_words) == len(once)
+
+
 def test_attribution_edges(spark):
     docs = documents(spark)
     rows = attribution.count_tokens(docs).collect()
