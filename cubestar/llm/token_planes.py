@@ -178,6 +178,7 @@ def encode_documents(
                     size = BATCH_BYTES + (upto[at - 1] if at else 0)
                     to = min(int(np.searchsorted(upto, size)) + 1, len(texts))
                     yield from encoded(doc_ids[at:to], texts[at:to])
+                    pa.default_memory_pool().release_unused()
                     at = to
             if writer.filled:
                 yield writer.flush()

@@ -184,10 +184,17 @@ def _piece_tokenizer(path: str):
 
 
 def cache_of(kind: str, path: str) -> WordCache:
-    """The worker's cache for a vocabulary file; tasks of one worker share it."""
+    """The worker's cache for a vocabulary file; tasks of one worker share it.
+
+    A worker outlives the stage it was started for, so only the vocabulary asked for
+    last keeps its words; another one's are encoded anew when it is asked for again.
+    """
     if (kind, path) not in _caches:
         make = {"word": _word_tokenizer, "piece": _piece_tokenizer}[kind]
         _caches[kind, path] = WordCache(make(path))
+    for key, other in _caches.items():
+        if key != (kind, path):
+            other.words.clear()
     return _caches[kind, path]
 
 

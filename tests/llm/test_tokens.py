@@ -130,6 +130,16 @@ def test_a_word_is_encoded_once_whatever_marks_follow(monkeypatch, bound):
     assert bound == 3 or len(given_words) == len(once)
 
 
+def test_a_worker_keeps_the_words_of_one_vocabulary():
+    """The words of quality_rules went on filling the workers that encode for token_files."""
+    piece = vocabulary_path("piece_bpe_32k.model")
+    before = cache_of("piece", piece).ids([[b"one", b"two"]])
+    assert laid_out(["one two three"]) == whole(["one two three"])
+    assert cache_of("word", WORD_BPE).words and not tokenizing._caches["piece", piece].words
+    assert cache_of("piece", piece).ids([[b"one", b"two"]]) == before
+    assert not tokenizing._caches["word", WORD_BPE].words
+
+
 def test_attribution_edges(spark):
     docs = documents(spark)
     rows = attribution.count_tokens(docs).collect()
