@@ -12,7 +12,7 @@ from cubestar.operators.dimensions import (
     order_columns,
 )
 from cubestar.schema import SLOT_CODES
-from cubestar.sources.workdir import broadcast_if_small, stage
+from cubestar.sources.workdir import broadcast_if_small, staged
 
 # A NULL member code is matched as this text.
 NULL_TEXT = "None"
@@ -49,7 +49,7 @@ def enrich_units(members: DataFrame, observations: DataFrame) -> DataFrame:
     )
     # One cube and unit may hold most members, so the few names are written
     # and broadcast after a count instead of shuffling members by name.
-    by_name = broadcast_if_small(stage(by_name, "unit-names"))
+    by_name = broadcast_if_small(staged(by_name, "unit-names"))
     keyed = members.selectExpr("*", *(_member(c.lower()) for c in codes))
     return (
         keyed.join(by_combo, ["tabela_sidra_id", *keys], "left")
