@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from cubestar.operators.quality import primary_key_violations, unique_violations
 from cubestar.plans.clustering import z_order
 from cubestar.sources.versions import commit, drop_old_versions, new_version
-from cubestar.sources.workdir import stage
+from cubestar.sources.workdir import PACKED, freed_shuffles, scratch, staged
 
 REQUIRED_FIELDS = ("name", "schema", "strategy", "sql")
 STRATEGIES = ("replace", "view")
@@ -66,7 +66,8 @@ def materialize(
             if output["strategy"] == "view":
                 create_view(spark, output)
             else:
-                replace_table(spark, output)
+                with scratch(spark):
+                    replace_table(spark, output)
     finally:
         spark.catalog.setCurrentDatabase(previous)
 
@@ -113,7 +114,7 @@ def replace_table(spark: SparkSession, output: Mapping) -> None:
         # files and row groups. The hash splits a key that fills many ranges.
         # Ranges are found by sampling; the staged rows spare a second run of
         # the query for that.
-        df = stage(df, "output")
+        df = staged(df, "output")
         first = plain[0]["columns"]
         hashed = [
             f.name for f in df.schema if "map<" not in f.dataType.simpleString()
@@ -128,13 +129,14 @@ def replace_table(spark: SparkSession, output: Mapping) -> None:
     versions = _versions_of(spark, schema, name)
     folder = new_version(spark, versions)
     try:
-        writer = df.write.format("parquet").option("path", folder)
+        writer = df.write.format("parquet").options(**PACKED, path=folder)
         if output.get("partitioned_by"):
             writer = writer.partitionBy(*output["partitioned_by"])
         for column in {c for i in plain[1:] for c in i["columns"]}:
             # Further indexes: a bloom filter per row group answers equality.
             writer = writer.option(f"parquet.bloom.filter.enabled#{column}", "true")
-        writer.saveAsTable(building)
+        with freed_shuffles(spark):
+            writer.saveAsTable(building)
         _check_keys(spark.table(building), output)
         if output.get("description"):
             spark.sql(

@@ -17,7 +17,7 @@ from cubestar.operators.quality import primary_key_violations, unique_violations
 from cubestar.plans.materialize import KeyViolation, _quoted
 from cubestar.schema import FACT_PARTITIONS
 from cubestar.sources.versions import remove
-from cubestar.sources.workdir import broadcast_if_small, stage
+from cubestar.sources.workdir import PACKED, broadcast_if_small, freed_shuffles, scratch, staged
 
 
 def touched_pairs(merged: DataFrame) -> DataFrame:
@@ -75,14 +75,19 @@ def refresh_output(spark: SparkSession, output: Mapping, star_database: str, tou
     would be broken. Repeating a refresh, or doing it after a load that was repeated,
     gives the same files' content.
     """
+    with scratch(spark):
+        return _refresh(spark, output, star_database, touched)
+
+
+def _refresh(spark: SparkSession, output: Mapping, star_database: str, touched: DataFrame) -> int:
     columns = list(output["partitioned_by"])
     target = _quoted(output["schema"], output["name"])
-    wanted = stage(_pairs_of(output, touched.select(*FACT_PARTITIONS).distinct()), "refreshed")
+    wanted = staged(_pairs_of(output, touched.select(*FACT_PARTITIONS).distinct()), "refreshed")
     n = wanted.count()
     if not n:
         return 0
     renamed = wanted.select(*(F.col(b).alias(a) for a, b in zip(FACT_PARTITIONS, columns)))
-    built = stage(_build(spark, output, star_database, renamed), "rebuilt")
+    built = staged(_build(spark, output, star_database, renamed), "rebuilt")
     stored = spark.table(target)
     small = broadcast_if_small(wanted)
     _check_changed(output, built, stored.join(small, columns, "left_anti"))
@@ -91,14 +96,15 @@ def refresh_output(spark: SparkSession, output: Mapping, star_database: str, tou
         built.select(*columns).distinct(), columns, "left_anti"
     )
     emptied = [tuple(r) for r in gone.collect()]  # at most the touched pairs
-    (
-        built.select(*stored.columns)
-        .hint("rebalance", *columns)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*columns)
-        .parquet(location)
-    )
+    with freed_shuffles(spark):
+        (
+            built.select(*stored.columns)
+            .hint("rebalance", *columns)
+            .write.mode("overwrite")
+            .options(**PACKED, partitionOverwriteMode="dynamic")
+            .partitionBy(*columns)
+            .parquet(location)
+        )
     for values in emptied:
         spec = ", ".join(f"`{c}` = '{v}'" for c, v in zip(columns, values))
         folders = "/".join(f"{c}={v}" for c, v in zip(columns, values))
